@@ -34,7 +34,7 @@ def evaluate(rules: DataFrame, metrics: DataFrame) -> DataFrame:
     )
     sign = "if(comparison = '~', '=', comparison)"
     return judged.selectExpr(
-        "source", "field", "rule", "arg", "value",
+        "source", "field", "rule", "arg", "if(problem IS NULL, value, NULL) AS value",
         "concat(rule, ': ', coalesce(field, ''), ' checks') AS check",
         "'Error' AS check_level",
         "if(holds, 'Success', 'Error') AS check_status",

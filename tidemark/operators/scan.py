@@ -417,7 +417,7 @@ def _row(request: Request, name: str, value: str) -> str:
     else:
         entity, instance = "Column", request.column
     cells = ", ".join(C.text(cell) for cell in (*request, entity, instance, name))
-    return f"struct({cells}, CAST({value} AS double))"
+    return f"struct({cells}, CAST({value} AS double) + 0.0d)"  # + 0.0 turns -0.0 into 0.0
 
 
 def scan_metrics(
