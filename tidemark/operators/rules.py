@@ -93,23 +93,18 @@ def typed_rules(active: DataFrame) -> DataFrame:
     cannot be checked.  A rule never fails the job, whatever its cell holds.
     """
 
-    def per_rule(field: str) -> str:
-        cases = " ".join(
-            f"WHEN {C.text(name)} THEN {C.text(getattr(rule, field))}"
-            for name, rule in RULES.items()
-        )
-        return f"CASE rule {cases} END"
-
-    read = active.selectExpr(
-        "source", "trim(field) AS field", "rule", "arg",
-        f"{per_rule('cell')} AS cell",
-        f"{per_rule('metric')} AS metric",
-        f"{per_rule('comparison')} AS comparison",
-        f"{per_rule('params')} AS fixed_params",
+    # the rule vocabulary: as many rows as RULES has entries
+    vocabulary = ", ".join(
+        f"({', '.join(C.text(cell) for cell in (name, *rule))})" for name, rule in RULES.items()
+    )
+    kinds = active.sparkSession.sql(
+        f"VALUES {vocabulary} AS kinds(rule, cell, metric, comparison, fixed_params)"
     )
     # name=bound cells: everything before the last = is the name
-    parts = read.selectExpr(
-        "*", "cell = 'keyed' OR cell = 'quantile' AND contains(arg, '=') AS two_part"
+    parts = active.join(F.broadcast(kinds), "rule", "left").selectExpr(
+        "source", "trim(field) AS field", "rule", "arg",
+        "cell", "metric", "comparison", "fixed_params",
+        "cell = 'keyed' OR cell = 'quantile' AND contains(arg, '=') AS two_part",
     ).selectExpr(
         "*",
         "if(two_part, trim(regexp_extract(arg, '(?s)^(.*)=', 1)), NULL) AS key",

@@ -310,7 +310,10 @@ def _pattern_match(scan: Scan, column: str, params: str) -> Reported:
     except Exception as error:
         raise Unavailable(f"bad pattern {params}") from error
     subject = value if C.is_text(dtype) else f"CAST({value} AS string)"
-    yield "PatternMatch", scan.fraction(f"{subject} RLIKE {C.text(params)}")
+    found = f"{subject} RLIKE {C.text(params)}"
+    if params in patterns.NEEDED:
+        found = f"contains({subject}, {C.text(patterns.NEEDED[params])}) AND {found}"
+    yield "PatternMatch", scan.fraction(found)
 
 
 def _literal(value: str, dtype: T.DataType) -> str:

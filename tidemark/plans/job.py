@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.constraints import RESULT_COLUMNS, RESULT_SCHEMA, evaluate
@@ -14,9 +15,8 @@ from tidemark.plans.verify import local_rules, read_rules_of, requests_of
 from tidemark.sources import files
 from tidemark.sources.folders import shared_folder
 
-OUTCOME_SCHEMA = (
-    "interface string, status string, message string, profile string, verification string"
-)
+OUTCOME_COLUMNS = ("interface", "status", "message", "profile", "verification")
+_OUTCOME_SCHEMA = pa.schema([(name, pa.string()) for name in OUTCOME_COLUMNS])
 
 
 def run(
@@ -60,7 +60,10 @@ def run(
 
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         outcomes = list(pool.map(one, dict.fromkeys(interfaces)))
-    return spark.createDataFrame(outcomes, OUTCOME_SCHEMA).coalesce(1)
+    if not outcomes:
+        return spark.createDataFrame(_OUTCOME_SCHEMA.empty_table())
+    columns = {name: list(cells) for name, cells in zip(OUTCOME_COLUMNS, zip(*outcomes))}
+    return spark.createDataFrame(pa.table(columns, schema=_OUTCOME_SCHEMA))
 
 
 def _process(df: DataFrame, rules: list, profile_target: str, verification_target: str) -> None:

@@ -178,24 +178,25 @@ def _approx_quantiles(spark, sf_dir):
         [Request("ApproxQuantiles", c) for c in _NUMBERS]
         + [Request("ApproxQuantile", c, "0.5") for c in _NUMBERS],
     )
-    answers = found.agg(
-        F.expr("map_from_entries(collect_list(struct(concat(instance, ' ', name), value)))").alias("m")
-    ).scalar()
     names = [f"ApproxQuantiles-{q}" for q in _QUANTILES] + ["ApproxQuantile-0.5"]
     checks = [(c, name, float(name.split("-")[1])) for c in _NUMBERS for name in names]
-    ranks = df.select(*_NUMBERS, answers.alias("m")).agg(
+    fields = ", ".join(
+        f"max(value) FILTER (WHERE instance = '{c}' AND name = '{name}') AS q{i}"
+        for i, (c, name, _) in enumerate(checks)
+    )
+    answers = found.agg(F.expr(f"struct({fields})").alias("answers")).scalar()
+    ranks = df.select(*_NUMBERS, answers.alias("a")).selectExpr(
         *[
-            F.expr(
-                f"struct(count_if({c} < m['{c} {name}']) / count(1) - 0.02 <= {q}"
-                f" AND count_if({c} <= m['{c} {name}']) / count(1) + 0.02 >= {q} AS within)"
-            ).alias(f"r{i}")
+            f"count_if({c} < a.q{i}) / count(1) - 0.02 <= {q}"
+            f" AND count_if({c} <= a.q{i}) / count(1) + 0.02 >= {q} AS r{i}"
             for i, (c, name, q) in enumerate(checks)
         ]
     )
     rows = ", ".join(
-        f"struct('{c}', '{name}', r{i}.within)" for i, (c, name, _) in enumerate(checks)
+        f"struct('{c}' AS instance, '{name}' AS name, r{i} AS within)"
+        for i, (c, name, _) in enumerate(checks)
     )
-    return ranks.selectExpr(f"inline(array({rows}))").toDF("instance", "name", "within")
+    return ranks.selectExpr(f"inline(array({rows}))")
 
 
 QUERIES["metric_approx_quantiles"] = _approx_quantiles

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark as tm
@@ -236,10 +237,9 @@ CASES: dict[str, tuple[str, dict[str, str], list[Case]]] = {
 def rule_table(spark: SparkSession, source: str, cases: list[Case]) -> DataFrame:
     """The wide rule table: a row per case, a column per rule."""
     rules = list(dict.fromkeys(case.rule for case in cases))
-    rows = [(source, c.field, *[c.arg if c.rule == r else None for r in rules]) for c in cases]
-    return spark.createDataFrame(
-        rows, ", ".join(f"{name} string" for name in ("source", "field", *rules))
-    )
+    columns = {"source": [source] * len(cases), "field": [c.field for c in cases]}
+    columns |= {rule: [c.arg if c.rule == rule else None for c in cases] for rule in rules}
+    return spark.createDataFrame(pa.table(columns))
 
 
 def verdicts(spark, sf_dir, source: str, replace: dict[str, str], cases: list[Case]) -> DataFrame:
