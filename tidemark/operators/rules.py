@@ -111,7 +111,7 @@ def typed_rules(active: DataFrame) -> DataFrame:
         "CASE WHEN two_part THEN try_cast(trim(substring_index(arg, '=', -1)) AS double)"
         " WHEN cell IN ('number', 'quantile') THEN try_cast(trim(arg) AS double)"
         " ELSE 1.0d END AS threshold",
-        "initcap(trim(arg)) AS type_name",
+        "if(cell = 'type', initcap(trim(arg)), NULL) AS type_name",
     )
     return parts.selectExpr(
         "source", "field", "rule", "arg", "metric",

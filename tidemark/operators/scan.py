@@ -123,8 +123,17 @@ class Scan:
         declared = C.declared_type(dtype)
         if declared is not None:
             return self.present(column) if value_type == declared else "0L"
+        if value_type == "String":  # what is none of the others
+            others = (self.type_count(column, t) for t in ("Integral", "Fractional", "Boolean"))
+            return f"({self.present(column)} - {' - '.join(others)})"
         return self.matching(f"{self._value_type(value)} = {C.text(value_type)}")
 
+    def number_count(self, column: str) -> str:
+        """Rows with a number."""
+        if C.is_numeric(self.column(column)[1]):
+            return self.present(column)
+        return f"({self.type_count(column, 'Integral')} + {self.type_count(column, 'Fractional')})"
+
     def number(self, column: str) -> str:
         """The column as a double per row; text counts where it is written as a number."""
         value, dtype = self.atomic(column)
@@ -214,8 +223,8 @@ def _type_ratio(scan: Scan, column: str, params: str) -> Reported:
     if params == "Null":
         yield "DataType", ratio(scan.type_count(column, "Unknown"), scan.total())
     elif params == "Numeric":
-        found = f"({scan.type_count(column, 'Integral')} + {scan.type_count(column, 'Fractional')})"
-        yield "DataType", ratio(found, scan.present(column))
+        found = (scan.type_count(column, t) for t in ("Integral", "Fractional"))
+        yield "DataType", ratio(f"({' + '.join(found)})", scan.present(column))
     else:
         yield "DataType", ratio(scan.type_count(column, params), scan.present(column))
 
@@ -239,8 +248,8 @@ def _sum(scan: Scan, column: str, params: str) -> Reported:
 
 
 def _mean(scan: Scan, column: str, params: str) -> Reported:
-    count = scan.keep(("numbers", column), f"count({scan.number(column)})", "sum({})")
-    yield "Mean", scan.if_numeric(column, ratio(_sum_of(scan, column), count))
+    mean = ratio(_sum_of(scan, column), scan.number_count(column))
+    yield "Mean", scan.if_numeric(column, mean)
 
 
 def _standard_deviation(scan: Scan, column: str, params: str) -> Reported:
