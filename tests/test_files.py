@@ -84,7 +84,7 @@ def test_the_job_writes_both_results_and_survives_a_bad_interface(spark, landing
                tm.run(spark, landing, ["sales", "broken", "stock", "absent"], rules, out).collect()}
     assert {k: r["status"] for k, r in outcome.items()} == {
         "sales": "Success", "broken": "Failure", "stock": "Success", "absent": "Failure"}
-    assert outcome["absent"]["message"].startswith("0 landed files")
+    assert outcome["absent"]["message"] == "nothing landed for absent"
     sales = spark.read.option("header", True).csv(files.verification_path(out, "sales"))
     assert {(r["field"], r["rule"]): r["constraint_status"] for r in sales.collect()} == {
         ("amount", "isComplete"): "Failure", ("id", "isComplete"): "Success", ("id", "hasMin"): "Success"}
@@ -96,6 +96,48 @@ def test_the_job_writes_both_results_and_survives_a_bad_interface(spark, landing
     assert spark.read.option("header", True).csv(empty).count() == 0
 
 
+def test_a_predicate_that_fails_on_a_row_fails_alone(spark, landing, tmp_path):
+    rules = spark.createDataFrame(
+        [("stock", "k", "1 / k > 0", "s"), ("stock", "k", "k >= 0", None)],
+        "source string, field string, satisfies string, isUnique string")
+    out = str(tmp_path / "results")
+    assert tm.run(spark, landing, ["stock"], rules, out).first()["status"] == "Success"
+    written = spark.read.option("header", True).csv(files.verification_path(out, "stock"))
+    got = {r["constraint"]: (r["constraint_status"], r["constraint_message"]) for r in written.collect()}
+    status, message = got["Satisfies(k, 1 / k > 0) = 1.0"]
+    assert status == "Failure" and message.startswith("predicate fails on the data")
+    assert got["Satisfies(k, k >= 0) = 1.0"][0] == "Success"
+    assert got["Uniqueness(k) = 1.0"][0] == "Success"
+
+
+def test_all_files_landed_for_an_interface_are_one_table(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for day in (1, 2):
+        (folder / f"sales_{day}.csv").write_text(f"id;note\n{day};a\n")
+    spark.sql("CREATE OR REPLACE TEMP VIEW landing_sales AS SELECT 1L AS id, 'x' AS note")
+    out = str(tmp_path / "results")
+    rules = spark.createDataFrame([("sales", "id", "s")], "source string, field string, isUnique string")
+    outcome = tm.run(
+        spark, str(folder), ["sales"], rules, out, pattern=r"^([a-z]+)_",
+        read=lambda spark, interface, paths: tm.read_interface(
+            spark, paths, table="landing_sales", options={"sep": ";"}),
+    ).first()
+    assert outcome["status"] == "Success", outcome["message"]
+    profile = spark.read.option("header", True).csv(files.profile_path(out, "sales"))
+    values = {(r["instance"], r["name"]): float(r["value"]) for r in profile.collect()}
+    assert values["*", "Size"] == 2 and values["id", "Sum"] == 3
+
+
+def test_the_job_takes_schemas_from_the_catalog(spark, landing, tmp_path):
+    spark.sql("CREATE OR REPLACE TEMP VIEW landing_sales AS SELECT 1L AS id, 1.5D AS amount")
+    rules = spark.createDataFrame([("sales", "amount", "2.5")], "source string, field string, hasMax string")
+    out = str(tmp_path / "results")
+    tm.run(spark, landing, ["sales"], rules, out, tables={"sales": "landing_sales"})
+    written = spark.read.option("header", True).csv(files.verification_path(out, "sales"))
+    assert written.first()["constraint_status"] == "Success"
+
+
 def test_job_results_equal_profile_and_verify(spark, landing, tmp_path):
     rules = spark.createDataFrame([("stock", "k", "s", "0.9=8", "10")],
                                   "source string, field string, isUnique string,"

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.constraints import RESULT_COLUMNS, RESULT_SCHEMA, evaluate
+from tidemark.operators.scan import Request
 from tidemark.plans.metrics import compute
 from tidemark.plans.profile import profile_requests, profile_rows
 from tidemark.plans.verify import local_rules, read_rules_of, requests_of
@@ -26,7 +28,8 @@ def run(
     rules: DataFrame,
     out: str,
     *,
-    read: Callable[[SparkSession, str, str], DataFrame] | None = None,
+    tables: Mapping[str, str] | None = None,
+    read: Callable[[SparkSession, str, list[str]], DataFrame] | None = None,
     pattern: str = r"^([^.]+)",
     concurrency: int = 4,
 ) -> DataFrame:
@@ -35,8 +38,17 @@ def run(
     Returns one row per requested interface.  An interface that fails, or of which nothing
     landed, is reported and the others continue.  Interfaces are independent jobs, a few of
     them at a time, so that small ones do not leave a cluster idle.
+
+    `tables` names the catalog table an interface takes its schema from; `read` replaces the
+    reader altogether; `pattern` finds the interface in the name of a landed file.  All files
+    landed for an interface are one table.
     """
-    read = read or (lambda spark, interface, path: files.read_interface(spark, path))
+    tables = tables or {}
+    read = read or (
+        lambda spark, interface, paths: files.read_interface(
+            spark, paths, table=tables.get(interface)
+        )
+    )
     shared_folder(spark)
     landed: dict[str, list[str]] = {}
     for row in files.landed_files(spark, landing, interfaces, pattern).collect():
@@ -49,13 +61,12 @@ def run(
     def one(interface: str) -> tuple:
         targets = files.profile_path(out, interface), files.verification_path(out, interface)
         try:
-            paths = landed.get(interface, [])
-            if len(paths) != 1:
-                raise ValueError(f"{len(paths)} landed files: {', '.join(sorted(paths))}")
-            df = read(spark, interface, paths[0])
+            if interface not in landed:
+                raise FileNotFoundError(f"nothing landed for {interface}")
+            df = read(spark, interface, sorted(landed[interface]))
             _process(df, rules_by_source.get(interface, []), *targets)
         except Exception as error:  # one interface must not stop the others
-            return interface, "Failure", str(error).split("\n")[0], None, None
+            return interface, "Failure", _first_line(error), None, None
         return interface, "Success", "", *targets
 
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
@@ -66,13 +77,42 @@ def run(
     return spark.createDataFrame(pa.table(columns, schema=_OUTCOME_SCHEMA))
 
 
+def _computed(
+    df: DataFrame, requests: Iterable[Request]
+) -> tuple[DataFrame, dict[Request, str]]:
+    """The metrics, kept in the shared folder: a row each, read by both writes of a job.
+
+    A free predicate may fail on a row.  It is then the only rule that fails: the other
+    metrics are computed without the predicates, and each predicate on its own.
+    """
+    requests = list(requests)
+    table, problems = compute(df, requests)
+    try:
+        return table.checkpoint(), problems
+    except Exception:
+        predicates = [r for r in dict.fromkeys(requests) if r.metric == "Satisfies"]
+        if not predicates:
+            raise
+    table, problems = compute(df, [r for r in requests if r.metric != "Satisfies"])
+    parts = [table.checkpoint()]
+    for predicate in predicates:
+        table, problem = compute(df, [predicate])
+        problems |= problem
+        try:
+            parts.append(table.checkpoint())
+        except Exception as error:
+            problems[predicate] = f"predicate fails on the data: {_first_line(error)}"
+    return reduce(DataFrame.unionByName, parts), problems
+
+
+def _first_line(error: Exception) -> str:
+    return str(error).split("\n")[0]
+
+
 def _process(df: DataFrame, rules: list, profile_target: str, verification_target: str) -> None:
     """Computes what profile and rules need together, once, and writes both results."""
     wanted = profile_requests(df.schema)
-    table, problems = compute(df, [*wanted, *requests_of(rules)])
-    # A row per metric, computed by the two writes below: kept in the shared folder, so that
-    # the table behind it is read once and a lost executor costs no second pass.
-    table = table.checkpoint()
+    table, problems = _computed(df, [*wanted, *requests_of(rules)])
     files.write_single_csv(
         profile_rows(table, wanted), profile_target, "entity", "instance", "name"
     )

@@ -43,23 +43,27 @@ def interface_schema(
 
 def read_interface(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     *,
     fmt: str | None = None,
     table: str | None = None,
     schema: T.StructType | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A landed file or folder of files with its declared schema."""
+    """Landed files or folders of files of one interface with their declared schema.
+
+    A CSV file of which no schema is known is read once more to infer one.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
     if fmt is None:
-        fmt = FORMATS.get(path.rstrip("/").rsplit(".", 1)[-1].lower(), "parquet")
+        fmt = FORMATS.get(paths[0].rstrip("/").rsplit(".", 1)[-1].lower(), "parquet")
     reader = spark.read.format(fmt).options(**({"header": "true"} if fmt == "csv" else {}))
     declared = interface_schema(spark, table, schema)
     if declared is not None:
         reader = reader.schema(declared)
     elif fmt == "csv":
         reader = reader.option("inferSchema", True)
-    return reader.options(**(options or {})).load(path)
+    return reader.options(**(options or {})).load(paths)
 
 
 def landed_files(
