@@ -181,12 +181,22 @@ def _completeness(scan: Scan, column: str, params: str) -> Reported:
     yield "Completeness", ratio(scan.present(column), scan.total())
 
 
-def _approx_count_distinct(scan: Scan, column: str, params: str) -> Reported:
+def _distinct_estimate(scan: Scan, column: str) -> str:
     value, dtype = scan.atomic(column)
     hashed = scan.input(C.sketch_hash(value, dtype))
     partial = f"hll_sketch_agg({hashed}, {DISTINCT_SKETCH_LOG2_K})"
     sketch = scan.keep(("distinct", value), partial, "hll_union_agg({})")
-    yield "ApproxCountDistinct", f"if({scan.total()} > 0, hll_sketch_estimate({sketch}), NULL)"
+    return f"hll_sketch_estimate({sketch})"
+
+
+def _approx_count_distinct(scan: Scan, column: str, params: str) -> Reported:
+    estimate = _distinct_estimate(scan, column)
+    yield "ApproxCountDistinct", f"if({scan.total()} > 0, {estimate}, NULL)"
+
+
+def _approx_distinctness(scan: Scan, column: str, params: str) -> Reported:
+    estimate = f"least({_distinct_estimate(scan, column)}, {scan.present(column)})"
+    yield "ApproxDistinctness", ratio(estimate, scan.total())
 
 
 def _quantile(scan: Scan, column: str, rank: float) -> str:
@@ -395,6 +405,7 @@ METRICS: dict[str, Callable[[Scan, str, str], Reported]] = {
     "Size": _size,
     "Completeness": _completeness,
     "ApproxCountDistinct": _approx_count_distinct,
+    "ApproxDistinctness": _approx_distinctness,
     "ApproxQuantile": _approx_quantile,
     "ApproxQuantiles": _approx_quantiles,
     "DataType": _data_type,

@@ -8,30 +8,27 @@ from tidemark.functions import columns as C
 from tidemark.operators.scan import Request, column_type
 from tidemark.plans.metrics import compute, requested, successful
 
-ATOMIC_METRICS = (
-    "ApproxCountDistinct",
-    "Completeness",
-    "DataType",
-    "Distinctness",
-    "Entropy",
-    "Uniqueness",
-    "UniqueValueRatio",
-)
+ATOMIC_METRICS = ("ApproxCountDistinct", "Completeness", "DataType")
+FREQUENCY_METRICS = ("Distinctness", "Entropy", "Uniqueness", "UniqueValueRatio")
 NUMERIC_METRICS = ("Maximum", "Minimum", "Mean", "Sum")
 
 
-def profile_requests(schema: T.StructType) -> list[Request]:
+def profile_requests(schema: T.StructType, exact: bool = True) -> list[Request]:
     """Size, and per column what its type allows.
 
+    Value frequencies need a shuffle of the distinct values; if not `exact`, an estimate of
+    the distinctness from the one scan stands in for them.
+
     Text columns ask for the numeric metrics too: whether a text column holds numbers is
     known only after the scan, which then leaves them null if it does not.
     """
     requests = [Request("Size", "*")]
+    metrics = ATOMIC_METRICS + (FREQUENCY_METRICS if exact else ("ApproxDistinctness",))
     for field in schema.fields:
         if C.is_nested(field.dataType):
             requests.append(Request("Completeness", field.name))
             continue
-        requests += [Request(metric, field.name) for metric in ATOMIC_METRICS]
+        requests += [Request(metric, field.name) for metric in metrics]
         if C.is_numeric(field.dataType) or C.is_text(field.dataType):
             requests.append(Request("ApproxQuantile", field.name, "0.5"))
             requests.append(Request("ApproxQuantiles", field.name))
@@ -39,9 +36,9 @@ def profile_requests(schema: T.StructType) -> list[Request]:
     return requests
 
 
-def profile(df: DataFrame) -> DataFrame:
+def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """(entity, instance, name, value): the metrics of a table that have a value."""
-    requests = profile_requests(df.schema)
+    requests = profile_requests(df.schema, exact)
     table, _ = compute(df, requests)
     return profile_rows(table, requests)
 

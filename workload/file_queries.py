@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tidemark as tm
 from tidemark.sources.folders import shared_folder
-from workload.common import ROUNDED, metric_sql, rounded, table
+from workload.common import ROUNDED, metric_sql, rounded, rows_sql, table
 from workload.profile_queries import ORACLE as PROFILE_ORACLE
 from workload.verify_queries import CASES, Case, rule_table
 
@@ -215,3 +215,18 @@ ORACLE["run_all_interfaces"] = " UNION ALL ".join(
     f" UNION ALL SELECT '{source}', 'Size', '*', count(*)::varchar FROM {source}"
     for source in (*_JOB_RULES, "nation")
 ) + " UNION ALL SELECT 'absent', '', '', 'Failure'"
+
+
+def _catalog_schema(spark, sf_dir):
+    """Orders read with the schema of a catalog table, which has two of its columns."""
+    name = f"landing_orders_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").createOrReplaceTempView(name)
+    df = tm.read_interface(spark, f"{sf_dir}/orders.parquet", table=name)
+    spark.catalog.dropTempView(name)
+    return rounded(tm.metrics(df, [tm.Request("Mean", c) for c in df.columns]))
+
+
+QUERIES["interface_schema_from_catalog"] = _catalog_schema
+ORACLE["interface_schema_from_catalog"] = rows_sql(
+    "orders", {}, [(c, "Mean", metric_sql("Mean", c)) for c in ("o_orderkey", "o_totalprice")]
+)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 import tidemark as tm
 from workload.common import metric_sql, rounded, rows_sql, table
@@ -84,6 +84,18 @@ def _profile(name: str):
     return query
 
 
+def _estimated(spark, sf_dir) -> DataFrame:
+    """The profile without value frequencies; its distinctness is within 10 % of the exact one."""
+    df = table(spark, sf_dir, "lineitem")
+    estimated = tm.profile(df, exact=False)
+    exact = tm.metrics(df, [tm.Request("Distinctness", c) for c in df.columns])
+    both = estimated.unionByName(exact).where("name LIKE '%istinctness'")
+    return both.groupBy("instance").agg(
+        F.expr("count(1)").alias("n"),
+        F.expr("max(value) / min(value) <= 1.1").alias("within"),
+    )
+
+
 QUERIES = {f"profile_{name}": _profile(name) for name in TABLES}
 ORACLE = {
     f"profile_{name}": rows_sql(
@@ -94,3 +106,10 @@ ORACLE = {
     )
     for name, kinds in TABLES.items()
 }
+
+QUERIES["profile_estimated"] = _estimated
+ORACLE["profile_estimated"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS instance, 2::bigint AS n, count(*) > 0 AS within FROM lineitem"
+    for columns in TABLES["lineitem"].values()
+    for c in columns
+)

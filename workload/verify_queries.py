@@ -298,3 +298,24 @@ def verify_suite(spark, sf_dir) -> DataFrame:
 
 QUERIES["verify_suite"] = verify_suite
 ORACLE["verify_suite"] = " UNION ALL ".join(f"({verdicts_sql(*suite)})" for suite in SUITE.values())
+
+
+def verify_result_rows(spark, sf_dir) -> DataFrame:
+    """The result as it is written: check, constraint and message of each verdict."""
+    _, replace, cases = CASES["verify_has_completeness"]
+    df = derived(spark, sf_dir, "orders", replace)
+    return tm.verify(df, rule_table(spark, "orders", cases), "orders")
+
+
+QUERIES["verify_result_rows"] = verify_result_rows
+ORACLE["verify_result_rows"] = """
+WITH v AS (SELECT count(nullif(o_orderpriority, '5-LOW'))::double / count(*) AS value FROM orders),
+r AS (SELECT value, bound FROM v, (VALUES (0.75::double), (0.85::double)) AS bounds(bound))
+SELECT 'orders' AS source, 'o_orderpriority' AS field, 'hasCompleteness' AS rule,
+  'hasCompleteness: o_orderpriority checks' AS "check", 'Error' AS check_level,
+  CASE WHEN value >= bound THEN 'Success' ELSE 'Error' END AS check_status,
+  concat('Completeness(o_orderpriority) >= ', bound) AS "constraint",
+  CASE WHEN value >= bound THEN 'Success' ELSE 'Failure' END AS constraint_status,
+  CASE WHEN value >= bound THEN '' ELSE concat('value ', value, ' is not >= ', bound) END
+    AS constraint_message
+FROM r"""
