@@ -26,7 +26,8 @@ METRICS = {
     "Distinctness": ratio("distinct_values", "total"),
     "Uniqueness": ratio("once", "total"),
     "UniqueValueRatio": ratio("once", "distinct_values"),
-    "Entropy": f"greatest({_ENTROPY}, 0.0d)",
+    # a column of one value may come out as a tiny negative number
+    "Entropy": f"if(filled > 0, greatest({_ENTROPY}, 0.0d), NULL)",
     "CountDistinct": "CAST(distinct_values AS double)",
 }
 
