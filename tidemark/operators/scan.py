@@ -44,8 +44,9 @@ class Unavailable(Exception):
 class Scan:
     """Collects the partial aggregates that the metrics of one scan need."""
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, checked: dict[str, bool] | None = None):
         self.df = df
+        self._checked = {} if checked is None else checked
         self._types = {f.name: f.dataType for f in df.schema.fields}
         self._folded = {f.name.lower(): f.name for f in df.schema.fields}
         self._case = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
@@ -90,6 +91,16 @@ class Scan:
             .selectExpr(*[f"{merge} AS {alias}" for alias, _, merge in self._kept.values()])
         )
 
+    def passes(self, sql: str, check: Callable[[], object]) -> bool:
+        """Whether a check of a rule's text raises nothing; each text is checked once."""
+        if sql not in self._checked:
+            try:
+                check()
+                self._checked[sql] = True
+            except Exception:
+                self._checked[sql] = False
+        return self._checked[sql]
+
     # -- shared partial aggregates
 
     def total(self) -> str:
@@ -324,12 +335,12 @@ def _max_length(scan: Scan, column: str, params: str) -> Reported:
 
 def _pattern_match(scan: Scan, column: str, params: str) -> Reported:
     value, dtype = scan.atomic(column)
-    try:  # constant folding compiles the pattern without starting a job
-        scan.df.sparkSession.sql("SELECT '' RLIKE :pattern", args={"pattern": params}).collect()
-    except Exception as error:
-        raise Unavailable(f"bad pattern {params}") from error
     subject = value if C.is_text(dtype) else f"CAST({value} AS string)"
     found = f"{subject} RLIKE {C.text(params)}"
+    # constant folding compiles the pattern without starting a job
+    compiled = f"'' RLIKE {C.text(params)}"
+    if not scan.passes(compiled, lambda: scan.df.sparkSession.sql(f"SELECT {compiled}").collect()):
+        raise Unavailable(f"bad pattern {params}")
     if params in patterns.NEEDED:
         found = f"contains({subject}, {C.text(patterns.NEEDED[params])}) AND {found}"
     yield "PatternMatch", scan.fraction(found)
@@ -394,10 +405,9 @@ def _comparable(scan: Scan, a: str, b: str) -> tuple[str, str]:
 
 def _satisfies(scan: Scan, column: str, params: str) -> Reported:
     predicate = f"CAST(({params}) AS boolean)"
-    try:  # analysed here, not run
-        scan.df.select(F.expr(f"count_if({predicate})"))
-    except Exception as error:
-        raise Unavailable(f"bad predicate {params}") from error
+    # analysed here, not run
+    if not scan.passes(predicate, lambda: scan.df.selectExpr(f"count_if({predicate})")):
+        raise Unavailable(f"bad predicate {params}")
     yield "Compliance", scan.fraction(predicate)
 
 
@@ -451,9 +461,10 @@ def scan_metrics(
     names = list(dict.fromkeys(request.column for request in requests))
     problems: dict[Request, str] = {}
     frames = []
+    checked: dict[str, bool] = {}
     for start in range(0, len(names), COLUMNS_PER_SCAN):
         batch = set(names[start : start + COLUMNS_PER_SCAN])
-        scan, rows = Scan(df), []
+        scan, rows = Scan(df, checked), []
         for request in requests:
             if request.column in batch:
                 try:
