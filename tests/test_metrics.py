@@ -39,6 +39,12 @@ def test_nulls_count_in_the_total_but_not_as_values(spark):
     assert got["c", "Histogram.ratio.String"] == 0.75
 
 
+def test_the_empty_text_is_a_value(spark):
+    got = everything(spark.createDataFrame([("",), ("",)], "c string"))
+    assert got["c", "ApproxCountDistinct"] == 1 and got["c", "Distinctness"] == 0.5
+    assert got["c", "Histogram.abs.String"] == 2
+
+
 def test_empty_table_has_a_size_and_nothing_else(spark):
     df = spark.createDataFrame([], "c string, n int, a array<int>")
     assert everything(df) == {("*", "Size"): 0.0}

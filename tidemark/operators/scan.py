@@ -194,8 +194,10 @@ def _completeness(scan: Scan, column: str, params: str) -> Reported:
 
 def _distinct_estimate(scan: Scan, column: str) -> str:
     value, dtype = scan.atomic(column)
-    hashed = scan.input(C.sketch_hash(value, dtype))
-    partial = f"hll_sketch_agg({hashed}, {DISTINCT_SKETCH_LOG2_K})"
+    # the sketch takes integers as they are; it would skip an empty text, so texts are hashed
+    keys = value if isinstance(dtype, (T.IntegerType, T.LongType)) else None
+    keys = keys or scan.input(C.sketch_hash(value, dtype))
+    partial = f"hll_sketch_agg({keys}, {DISTINCT_SKETCH_LOG2_K})"
     sketch = scan.keep(("distinct", value), partial, "hll_union_agg({})")
     return f"hll_sketch_estimate({sketch})"
 
