@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
@@ -21,11 +22,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """df, computed once: written as Parquet to the shared folder and read again.
 
     Survives lost executors, unlike a cache, and cuts the lineage.  `release` deletes the files.
+    What df was shuffled through is not needed any more; a collection of garbage in the driver
+    makes Spark delete it now rather than some time later.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     _staged.append(path)
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -86,19 +91,30 @@ def _hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mixed(np.arange(1, 257, dtype=np.uint64)), _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
 
 
-def _block_word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word of data begins, and its hash, which does not depend on its place."""
+def window_sums(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial over the bytes, and the factors that bring a part to its start.
+
+    The hash of codes[a:b] is mixed((sums[b] - sums[a]) * factors[a]); it depends on its bytes
+    alone, for parts of one length.
+    """
     values, powers, inverse = _hash_tables()
-    n = len(data)
-    if n > len(powers):  # holds a word of over a million bytes
+    n = len(codes)
+    if n > len(powers):
         powers, inverse = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values[codes] * powers[:n], out=sums[1:])
+    return sums, inverse
+
+
+def _block_word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of data begins, and its hash, which does not depend on its place."""
     codes = np.frombuffer(data, np.uint8)
     edges = np.flatnonzero(np.diff(codes == _SPACE, prepend=True, append=True))
     starts, ends = edges[::2], edges[1::2]
+    sums, factors = window_sums(codes)
     with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values[codes] * powers[:n], out=sums[1:])
-        return starts, mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        return starts, mixed((sums[ends] - sums[starts]) * factors[starts] + (ends - starts).astype(np.uint64))
 
 
 def word_hashes(texts: Sequence[str | None]) -> Iterator[np.ndarray]:

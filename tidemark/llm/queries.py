@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    byte_bpe, language_id, quality_classifier, quality_rules, sharding, url_filters,
+    byte_bpe, language_id, quality_classifier, quality_rules, sharding, suffix_dedup,
+    url_filters,
 )
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -50,10 +51,20 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op3_quality_classifier, op4_url_filters, op5_language_id, op6_byte_bpe, op7_sharding,
+        op9_suffix_dedup,
     )
 }
 
