@@ -173,3 +173,62 @@ def apply_quality_rules(docs: DataFrame) -> DataFrame:
             F.when(F.col("base_failed"), False).otherwise(passes).alias("kept"),
         )
     )
+
+
+def oracle_sql() -> str:
+    """The same rows in plain SQL."""
+    space = r"[^\x20\x09-\x0D]"
+    ctes = [
+        "t AS (SELECT row_number() OVER () AS id, doc_id, lang, source, coalesce(text, '') AS text FROM documents)",
+        f"w AS (SELECT id, regexp_extract_all(text, '{space}+') AS w FROM t)",
+        f"win AS (SELECT id, s, array_to_string(w[s:s + {WINDOW - 1}], ' ') AS g FROM"
+        f" (SELECT id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS s FROM w WHERE len(w) >= {WINDOW}) x)",
+        "twice AS (SELECT id, g FROM win GROUP BY id, g HAVING count(*) > 1)",
+        "cover AS (SELECT id, count(DISTINCT s + k) AS n FROM win JOIN twice USING (id, g),"
+        f" (SELECT unnest(range({WINDOW})) AS k) ks GROUP BY id)",
+        "l AS (SELECT id, unnest(string_split(text, chr(10))) AS line FROM t)",
+        f"ln AS (SELECT id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l"
+        f" WHERE regexp_matches(line, '{space}') GROUP BY id)",
+        "st AS (SELECT t.id AS id, doc_id, lang, source, len(w) AS n_words,"
+        " length(array_to_string(w, '')) AS word_chars,"
+        " length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,"
+        " coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,"
+        " coalesce(cover.n, 0) AS n_repeat_words FROM t JOIN w ON w.id = t.id"
+        " LEFT JOIN ln ON ln.id = t.id LEFT JOIN cover ON cover.id = t.id)",
+        f"b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
+        " AS base_failed FROM st)",
+    ]
+    values = {name: value.replace(" div ", " // ") for name, (value, _) in STATISTICS.items()}
+    ctes.append("v AS (" + " UNION ALL ".join(
+        f"SELECT lang, source, '{name}' AS statistic, ({value})::BIGINT AS value FROM b WHERE NOT base_failed"
+        for name, value in values.items()
+    ) + ")")
+    shift = "greatest(0, length(bin(value)) - 7)::INTEGER"
+    ctes.append(f"sk AS (SELECT lang, source, statistic, ((value >> {shift}) << {shift}) AS bucket, count(*) AS n"
+                " FROM v GROUP BY ALL)")
+    for name, keys in (("own", "lang, source"), ("wider", "lang")):
+        ctes.append(
+            f"{name}r AS (SELECT {keys}, statistic, bucket, sum(n) OVER (PARTITION BY {keys}, statistic ORDER BY bucket)"
+            f" AS upto, sum(n) OVER (PARTITION BY {keys}, statistic) AS total FROM"
+            f" (SELECT {keys}, statistic, bucket, sum(n) AS n FROM sk GROUP BY ALL) x)"
+        )
+        ctes.append(
+            f"{name}q AS (SELECT {keys}, statistic, max(total) AS total,"
+            " min(CASE WHEN 4 * upto >= total THEN bucket END) AS q1,"
+            f" min(CASE WHEN 4 * upto >= 3 * total THEN bucket END) AS q3 FROM {name}r GROUP BY {keys}, statistic)"
+        )
+        limits = []
+        for statistic, (_, least) in STATISTICS.items():
+            of, spread = f"CASE WHEN statistic = '{statistic}' THEN", f"{REACH} * greatest(q3 - q1, {least})"
+            limits.append(f"max({of} q3 + {spread} END) AS {statistic}_high")
+            limits.append(f"max({of} q1 - {spread} END) AS {statistic}_low")
+        ctes.append(f"{name} AS (SELECT {keys}, max(total) AS documents, {', '.join(limits)} FROM {name}q GROUP BY {keys})")
+    limit = lambda x: f"(CASE WHEN own.documents >= {MIN_DOCUMENTS} THEN own.{x} ELSE wider.{x} END)"
+    passes = [f"{value} <= {limit(f'{name}_high')}" for name, value in values.items()]
+    passes += [f"{values[name]} >= {limit(f'{name}_low')}" for name in TWO_SIDED]
+    return (
+        "WITH " + ", ".join(ctes) + " SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,"
+        f" base_failed, CASE WHEN base_failed THEN false ELSE {' AND '.join(passes)} END AS kept FROM b"
+        " LEFT JOIN own ON own.lang IS NOT DISTINCT FROM b.lang AND own.source IS NOT DISTINCT FROM b.source"
+        " LEFT JOIN wider ON wider.lang IS NOT DISTINCT FROM b.lang"
+    )

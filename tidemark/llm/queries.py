@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    byte_bpe, language_id, quality_classifier, quality_rules, sharding, suffix_dedup,
-    url_filters,
+    byte_bpe, decontamination, language_id, line_dedup, ngram_jaccard, quality_classifier, quality_rules,
+    sharding, suffix_dedup, url_filters,
 )
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents")).drop("tag")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes",
@@ -60,12 +68,21 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.link_documents(table(spark, sf_dir, "documents")).drop("tag")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op3_quality_classifier, op4_url_filters, op5_language_id, op6_byte_bpe, op7_sharding,
-        op9_suffix_dedup,
+        op1_quality_rules, op2_line_dedup, op3_quality_classifier, op4_url_filters, op5_language_id,
+        op6_byte_bpe, op7_sharding, op8_decontamination, op9_suffix_dedup, op10_ngram_jaccard,
     )
 }
 
-ORACLE = {"op4_url_filters": url_filters.oracle_sql()}
+ORACLE = {
+    "op1_quality_rules": quality_rules.oracle_sql(),
+    "op2_line_dedup": line_dedup.oracle_sql(),
+    "op4_url_filters": url_filters.oracle_sql(),
+    "op8_decontamination": decontamination.oracle_sql(),
+}
