@@ -42,6 +42,16 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of a side that is broadcast whatever Spark estimates; with more it chooses by itself.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, staged, to be broadcast if it has at most BROADCAST_ROWS (narrow) rows."""
+    df = stage(df, "small")
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once, also where body uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]

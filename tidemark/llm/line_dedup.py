@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import let, stage, words_of
+from tidemark.llm.common import let, small, stage, words_of
 
 #: A shorter line is never a repeat, in words.
 MIN_WORDS = 3
@@ -157,11 +157,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    halves = classes.select("first", "k1", F.explode("halves").alias("half"))
+    halves = classes.select("k1", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
-    chosen = halves.join(shared.select("half"), "half").select("first").distinct()
-    wanted = chosen.groupBy(F.col("first.doc_id").alias("id"), F.col("first.tag").alias("its_tag")).agg(
-        F.collect_set("first.line_no").alias("numbers")
+    chosen = halves.join(shared.select("half"), "half").select("k1").distinct()
+    wanted = small(
+        classes.join(chosen, "k1").groupBy(F.col("first.doc_id").alias("id"), F.col("first.tag").alias("its_tag"))
+        .agg(F.collect_set("first.line_no").alias("numbers"))
     )
     text = docs.select(docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"), docs["text"].alias("text"))
     candidates = stage(
@@ -174,6 +175,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         "candidates",
     )
     variants = candidates.select("first", F.explode(_variants(F.col("words"))).alias("v")).select("first", "v.*")
+    met = variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    variants = stage(variants.join(met.select("key"), "key"), "variants")
     earliest = variants.groupBy("key").agg(*[
         F.min(F.when(F.col("kind") == kind, F.col("first"))).alias(f"{kind}_first") for kind in ("whole", "gap", "hole")
     ])
