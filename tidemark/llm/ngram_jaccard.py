@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import mixed, shingle_set, stage, word_hashes
+from tidemark.llm.common import mixed, shingle_set, small, stage, word_hashes
 from tidemark.llm.components import components
 
 #: Words of a shingle, and the similarity of a link as a fraction.
@@ -36,7 +36,7 @@ def _sets(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[np.ndarray],
 
 
 def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """doc_id, tag, n and set hash of each text, and at the end the frequencies of the task."""
+    """doc_id, tag, size, hash and bitmap of each set, and at the end the frequencies of the task."""
     counts = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for part, sets, hashes in _sets(batch):
@@ -44,9 +44,9 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts += np.bincount((shingles >> np.uint64(48)).astype(np.int64), minlength=SLOTS)
             yield pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64"), "tag": part["tag"], "n": [len(s) for s in sets],
-                "c": hashes, "counts": None,
+                "c": hashes, "bits": [signature(s).tobytes() for s in sets], "counts": None,
             })
-    yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "tag": 0, "n": -1, "c": 0, "counts": [counts]})
+    yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "tag": 0, "n": -1, "c": 0, "bits": None, "counts": [counts]})
 
 
 def _prefix_rows(levels: np.ndarray):
@@ -142,8 +142,8 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """A bitmap with the bit of each hash set: 8 to 16 bits for each shingle, a power of two."""
-    width = max(64, 1 << (8 * len(shingles) - 1).bit_length())
+    """A bitmap with the bit of each hash set: 4 to 8 bits for each shingle, a power of two."""
+    width = max(64, 1 << (4 * len(shingles)).bit_length())
     bits = np.zeros(width, bool)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little")
@@ -183,10 +183,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for _, sets, hashes in _sets(batch):
-            yield pd.DataFrame({
-                "c": hashes, "n": [len(s) for s in sets],
-                "bits": [signature(s).tobytes() for s in sets], "shingles": [s.tobytes() for s in sets],
-            })
+            yield pd.DataFrame({"c": hashes, "shingles": [s.tobytes() for s in sets]})
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -210,26 +207,30 @@ def _levels(spark: SparkSession, summaries: DataFrame) -> np.ndarray:
     return np.minimum(np.log2(above) * 2, 63).astype(np.uint64)
 
 
-def _links(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of set hashes whose sets are similar."""
-    pairs = stage(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(classes, "c")
-    wanted = wanted.select(F.col("first.doc_id").alias("id"), F.col("first.tag").alias("its_tag"))
-    described = stage(
-        texts.join(
-            wanted.distinct(), texts["doc_id"].eqNullSafe(F.col("id")) & (texts["tag"] == F.col("its_tag")), "left_semi"
-        ).select("text").mapInPandas(_described, "c long, n long, bits binary, shingles binary").dropDuplicates(["c"]),
-        "sets",
-    )
+def _links(texts: DataFrame, classes: DataFrame, bitmaps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of set hashes whose sets are similar.
 
-    def joined(rows: DataFrame, *columns: str) -> DataFrame:
+    All pairs are checked by the bitmaps; of those left the texts are fetched and their sets
+    compared.
+    """
+
+    def joined(rows: DataFrame, described: DataFrame, *columns: str) -> DataFrame:
         for side in ("a", "b"):
             own = described.select(F.col("c").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in columns])
             rows = rows.join(own, side)
         return rows
 
-    near = stage(joined(pairs, "n", "bits").mapInPandas(_bounded, "a long, b long"), "near")
-    return stage(joined(near, "shingles").mapInPandas(_verified, "a long, b long"), "links")
+    pairs = stage(pairs.distinct(), "pairs")
+    near = stage(joined(pairs, bitmaps, "n", "bits").mapInPandas(_bounded, "a long, b long"), "near")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(classes, "c")
+    wanted = small(wanted.select(F.col("first.doc_id").alias("id"), F.col("first.tag").alias("its_tag")).distinct())
+    same = texts["doc_id"].eqNullSafe(F.col("id")) & (texts["tag"] == F.col("its_tag"))
+    described = stage(
+        texts.join(wanted, same, "left_semi").select("text")
+        .mapInPandas(_described, "c long, shingles binary").dropDuplicates(["c"]),
+        "sets",
+    )
+    return stage(joined(near, described, "shingles").mapInPandas(_verified, "a long, b long"), "links")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -254,7 +255,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = _identified(docs)
     summaries = stage(
-        texts.mapInPandas(_summaries, "doc_id long, tag long, n long, c long, counts array<long>"), "summaries"
+        texts.mapInPandas(_summaries, "doc_id long, tag long, n long, c long, bits binary, counts array<long>"), "summaries"
     )
     levels = _levels(spark, summaries)
     rows = summaries.where("n >= 0").select("doc_id", "tag", "n", "c")
@@ -272,7 +273,8 @@ def link_documents(docs: DataFrame) -> DataFrame:
         "candidates",
     )
     first = classes.select("c", "first")
-    links = _links(texts, first, tiled.where("key IS NULL").select("a", "b"))
+    bitmaps = summaries.where("n > 0").select("c", "n", "bits").dropDuplicates(["c"])
+    links = _links(texts, first, bitmaps, tiled.where("key IS NULL").select("a", "b"))
     roots = components(links)
     members = (
         tiled.where("key IS NOT NULL").select("key", F.col("a").alias("c"), "n")
@@ -288,7 +290,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
             (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.root") != F.col("y.root"))
             & (OF * F.least("x.n", "y.n") >= SIMILAR * F.greatest("x.n", "y.n")),
         ).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
-        more = _links(texts, first, crossing)
+        more = _links(texts, first, bitmaps, crossing)
         if not more.isEmpty():
             roots = components(links.unionByName(more))
     rooted = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
