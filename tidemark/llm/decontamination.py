@@ -49,24 +49,30 @@ def _seeds(rows: DataFrame, lengths: list[int]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _overlaps() -> Column:
-    """Whether some overlap around a hit of a document and an item is equal enough.
+def _around(words: Column, start: Column) -> Column:
+    """The words of all overlaps that contain a seed at start, null where there are none."""
+    return F.array(*[F.get(words, start + k) for k in range(SPAN - OVERLAP, OVERLAP)])
+
+
+def _overlaps() -> tuple[Column, Column]:
+    """The equal words around a hit as bits, and whether some overlap that contains the seed of a hit is equal enough.
 
     The words are compared at the places that the hit gives them; an overlap has OVERLAP words
-    of the item, or all of a shorter one, and contains the seed.
+    of the item, or all of a shorter one.  No lambda is used, which would keep the join out of
+    generated code.
     """
-    shift = F.col("start") - F.col("item_start")
-    length = F.least(F.lit(OVERLAP), F.size("item_words"))
-    seed = F.least(F.lit(SPAN), F.size("item_words"))
-    first = F.greatest(F.lit(0), F.col("item_start") + seed - length)
-    last = F.least(F.col("item_start"), F.size("item_words") - length)
-    return F.exists(
-        F.sequence(first, last),
-        lambda at: 100 * F.size(F.filter(
-            F.sequence(at, at + length - 1),
-            lambda k: F.get(F.col("item_words"), k) == F.get(F.col("words"), k + shift),
-        )) >= EQUAL_PERCENT * length,
-    )
+    first = SPAN - OVERLAP
+    equal = reduce(Column.__add__, [
+        F.coalesce((F.col("its_words")[k] == F.col("item_words")[k]).cast("int") * (1 << k), F.lit(0))
+        for k in range(2 * OVERLAP - SPAN)
+    ])
+    enough = F.lit(False)
+    for k in range(OVERLAP - SPAN + 1):
+        begin = F.col("item_start") + first + k
+        part = F.bit_count(F.col("equal").bitwiseAND(((1 << OVERLAP) - 1) << k))
+        enough |= (begin >= 0) & (begin + OVERLAP <= F.col("n")) & (100 * part >= EQUAL_PERCENT * OVERLAP)
+    short = 100 * F.bit_count("equal") >= EQUAL_PERCENT * F.col("n")
+    return equal, F.when(F.col("n") < OVERLAP, short).otherwise(enough)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
@@ -93,22 +99,29 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BRO
     # At most SPAN - MIN_ITEM rows.
     short = items.where(F.size("words") < SPAN).select(F.size("words").alias("n")).distinct()
     lengths = sorted(row.n for row in short.collect())
-    of_items = _seeds(items, []).select("key", "item_id", F.col("start").alias("item_start"), F.col("words").alias("item_words"))
+    def described(seeds: DataFrame) -> DataFrame:
+        return seeds.select(
+            "key", "item_id", F.col("start").alias("item_start"), F.size("words").alias("n"),
+            _around(F.col("words"), F.col("start")).alias("item_words"),
+        )
+
+    of_items = described(_seeds(items, []))
     for length in lengths:
-        exact = items.where(F.size("words") == length)
-        of_items = of_items.unionByName(exact.select(
-            _key(F.col("words"), F.lit(0), -length, range(length)).alias("key"),
-            "item_id", F.lit(0).alias("item_start"), F.col("words").alias("item_words"),
-        ))
+        exact = items.where(F.size("words") == length).withColumn("start", F.lit(0))
+        of_items = of_items.unionByName(
+            described(exact.withColumn("key", _key(F.col("words"), F.col("start"), -length, range(length))))
+        )
     of_items = stage(of_items, "seeds")
-    size = of_items.agg(F.count("*"), F.sum(F.size("item_words"))).first()
-    if size[0] <= broadcast_seeds and (size[1] or 0) <= 32 * broadcast_seeds:
+    if of_items.count() <= broadcast_seeds:
         of_items = F.broadcast(of_items)
     words = docs.select(docs["doc_id"].alias("doc_id"), _hashes(docs["text"]).alias("words"))
+    equal, enough = _overlaps()
     return (
         _seeds(words, lengths)
         .join(of_items, "key")
-        .where(_overlaps())
+        .select("doc_id", "item_id", "item_start", "item_words", "n", "start", _around(F.col("words"), F.col("start")).alias("its_words"))
+        .select("doc_id", "item_id", "item_start", "n", "start", equal.alias("equal"))
+        .where(enough)
         .groupBy("doc_id", "item_id")
         .agg(F.count("*").alias("hits"), F.min("start").cast("long").alias("first_word"))
     )
