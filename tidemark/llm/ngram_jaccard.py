@@ -6,15 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import mixed, shingle_set, small, stage, word_hashes
 from tidemark.llm.components import components
 
 #: Words of a shingle, and the similarity of a link as a fraction.
 WORDS, SIMILAR, OF = 5, 75, 100
-#: Counters of the frequency sketch of shingles.
-SLOTS = 1 << 16
+#: Counters of the frequency sketch of shingles, and the bits of a hash that choose one.
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
 #: Members of a tile up to which all its pairs become candidates at once.
 SMALL = 12
 #: Texts, or pairs, that a task works on at a time.
@@ -25,6 +27,22 @@ NAMELESS = 1 << 62
 _NO_SHINGLES = np.empty(0, np.uint64)
 
 
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def prefix(n: int) -> tuple[int, int]:
+    """How many shingles of a set of n deal it to tiles, and how many more, as reserve.
+
+    Two sets of n and m shingles have 3 (n + m) / 7 or more in common to be similar, and so at
+    least 3 n / 4; in whatever order all shingles are sorted, the first n - ceil(3 n / 4) + 1 of
+    both then share one.  With the reserve that also holds in the order that puts the shingles of
+    large tiles last, for sets with no more of these than the reserve.
+    """
+    needed = n - -(-SIMILAR * n // OF) + 1
+    return needed, needed // 4
+
+
 def _sets(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[np.ndarray], np.ndarray]]:
     """Parts of a batch, the shingle set of each text, and a hash of each set."""
     for at in range(0, len(batch), BATCH):
@@ -41,7 +59,7 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for part, sets, hashes in _sets(batch):
             shingles = np.concatenate([_NO_SHINGLES, *sets])
-            counts += np.bincount((shingles >> np.uint64(48)).astype(np.int64), minlength=SLOTS)
+            counts += np.bincount(_slots(shingles), minlength=SLOTS)
             yield pd.DataFrame({
                 "doc_id": part["doc_id"].astype("Int64"), "tag": part["tag"], "n": [len(s) for s in sets],
                 "c": hashes, "bits": [signature(s).tobytes() for s in sets], "counts": None,
@@ -49,13 +67,8 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "tag": 0, "n": -1, "c": 0, "bits": None, "counts": [counts]})
 
 
-def _prefix_rows(levels: np.ndarray):
-    """Of each set the shingles among which one of every similar set must be, rare ones first.
-
-    Two sets of n and m shingles have 3 (n + m) / 7 or more in common to be similar, and so at
-    least 3 n / 4; in whatever order all shingles are sorted, the first n - ceil(3 n / 4) + 1 of
-    both then share one.
-    """
+def _prefix_rows(levels: Broadcast):
+    """Of each set the shingles that deal it to tiles, rare ones first."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -67,8 +80,8 @@ def _prefix_rows(levels: np.ndarray):
                         continue
                     if len(seen) < 100_000:  # copies are joined later anyway
                         seen.add(c)
-                    order = (levels[(s >> np.uint64(48)).astype(np.int64)] << np.uint64(58)) | (s >> np.uint64(6))
-                    k = len(s) - -(-SIMILAR * len(s) // OF) + 1
+                    order = (levels.value[_slots(s)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
+                    k = min(len(s), sum(prefix(len(s))))
                     keys.append(np.partition(order, k - 1)[:k] if k < len(s) else order)
                     owners.append(c)
                     sizes.append(len(s))
@@ -104,8 +117,6 @@ def _tile(key: int, c: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs (key null) and the members of tiles that need a second look; input sorted by key."""
-    tail: pd.DataFrame | None = None
-
     def tiles(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates()
         key, c, n = (rows[x].to_numpy() for x in ("key", "c", "n"))
@@ -131,14 +142,8 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             out = pd.concat([out, left])
         return out[["key", "a", "b", "n"]]
 
-    for batch in batches:
-        rows = batch if tail is None else pd.concat([tail, batch])
-        whole = rows["key"] != rows["key"].iloc[-1]
-        if whole.any():
-            yield tiles(rows[whole])
-        tail = rows[~whole]
-    if tail is not None and len(tail):
-        yield tiles(tail)
+    for rows in _whole_tiles(batches):
+        yield tiles(rows)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -158,10 +163,73 @@ def overlap_bound(a: np.ndarray, n: int, b: np.ndarray, m: int) -> int:
     return min(n - only_a, m - only_b)
 
 
-def _similar(overlap: int, n: int, m: int) -> bool:
+def _similar(overlap, n, m):
     return OF * overlap >= SIMILAR * (n + m - overlap)
 
 
+def _crossing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of members of one tile, one of them heavy, that the bitmaps do not tell apart.
+
+    Input sorted by tile; only pairs of different components and near sizes are compared, each
+    member with all others at once, and no pair leaves the task that the bitmaps exclude.
+    """
+
+    def compared(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        c, n, root, heavy = (rows[x].to_numpy() for x in ("c", "n", "root", "heavy"))
+        n = n.astype(np.int64)
+        widths = rows["bits"].map(len).to_numpy()
+        for width in np.unique(widths):
+            # Near sizes have bitmaps of one width, or one of twice the other.
+            own, twice = np.flatnonzero(widths == width), np.flatnonzero(widths == 2 * width)
+            at = np.concatenate([own, twice])
+            bits = np.zeros((len(at), width), np.uint8)
+            bits[: len(own)] = np.frombuffer(b"".join(rows["bits"].iloc[own]), np.uint8).reshape(-1, width)
+            if len(twice):
+                wide = np.frombuffer(b"".join(rows["bits"].iloc[twice]), np.uint8).reshape(-1, 2, width)
+                bits[len(own) :] = wide[:, 0] | wide[:, 1]
+            bits = bits.view(np.uint64)
+            for i in range(len(own)):
+                rest = np.arange(i + 1, len(at))
+                a, b = at[i], at[rest]
+                near = (
+                    (root[b] != root[a]) & (heavy[b] | heavy[a])
+                    & (OF * np.minimum(n[a], n[b]) >= SIMILAR * np.maximum(n[a], n[b]))
+                )
+                rest, b = rest[near], b[near]
+                if not len(rest):
+                    continue
+                both = np.bitwise_count(bits[i] & bits[rest]).sum(1, dtype=np.int64)
+                only_a = np.bitwise_count(bits[i]).sum(dtype=np.int64) - both
+                only_b = np.bitwise_count(bits[rest]).sum(1, dtype=np.int64) - both
+                b = b[_similar(np.minimum(n[a] - only_a, n[b] - only_b), n[a], n[b])]
+                yield np.full(len(b), c[a]), c[b]
+
+    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [pair for _, tile in rows.groupby("key", sort=False) for pair in compared(tile)]
+        a = np.concatenate([np.empty(0, np.int64), *[x for x, _ in found]])
+        b = np.concatenate([np.empty(0, np.int64), *[y for _, y in found]])
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    for rows in _whole_tiles(batches):
+        yield pairs(rows)
+
+
+def _whole_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows, sorted by key, in frames that cut no key apart."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if held and len(batch) and batch["key"].iloc[0] == batch["key"].iloc[-1] == held[-1]["key"].iloc[-1]:
+            held.append(batch)
+            continue
+        rows = pd.concat([*held, batch])
+        whole = (rows["key"] != rows["key"].iloc[-1]).to_numpy() if len(rows) else np.zeros(0, bool)
+        if whole.any():
+            yield rows[whole]
+        held = [rows[~whole]]
+    if held and len(held[0]):
+        yield pd.concat(held)
+
+
 def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keep = [
@@ -194,34 +262,42 @@ def _identified(docs: DataFrame) -> DataFrame:
     )
 
 
-def _levels(spark: SparkSession, summaries: DataFrame) -> np.ndarray:
-    """How far above the mean the counter of each slot is, in doublings; a fixed number of rows."""
-    counts = np.zeros(SLOTS)
-    rows = (
-        summaries.where("counts IS NOT NULL").select(F.posexplode("counts").alias("slot", "count"))
-        .groupBy("slot").agg(F.sum("count").alias("count")).collect()
-    )
-    for row in rows:
-        counts[row["slot"]] = row["count"]
-    above = np.maximum(counts / max(counts.mean(), 1.0), 1.0)
-    return np.minimum(np.log2(above) * 2, 63).astype(np.uint64)
+def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for own in batch["counts"]:
+            counts += own
+    yield pd.DataFrame({"counts": [counts]})
 
 
-def _links(texts: DataFrame, classes: DataFrame, bitmaps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of set hashes whose sets are similar.
+def _levels(summaries: DataFrame) -> np.ndarray:
+    """How far above the mean the counter of each slot is, in half doublings.
 
-    All pairs are checked by the bitmaps; of those left the texts are fetched and their sets
-    compared.
+    The sketches of the tasks are added up in two steps; one, of a fixed size, reaches the driver.
     """
+    sketches = summaries.where("counts IS NOT NULL").select("counts")
+    some = max(1, int(sketches.count() ** 0.5))
+    added = sketches.repartition(some).mapInPandas(_added, "counts array<long>")
+    counts = np.array(added.repartition(1).mapInPandas(_added, "counts array<long>").first()["counts"], float)
+    above = np.maximum(counts / max(counts.mean(), 1.0), 1.0)
+    return np.minimum(np.log2(above) * 2, 63).astype(np.uint8)
+
 
-    def joined(rows: DataFrame, described: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            own = described.select(F.col("c").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in columns])
-            rows = rows.join(own, side)
-        return rows
+def _bounded_pairs(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of set hashes that the bitmaps do not tell apart."""
+    return _joined(stage(pairs.distinct(), "pairs"), bitmaps, "n", "bits").mapInPandas(_bounded, "a long, b long")
 
-    pairs = stage(pairs.distinct(), "pairs")
-    near = stage(joined(pairs, bitmaps, "n", "bits").mapInPandas(_bounded, "a long, b long"), "near")
+
+def _joined(pairs: DataFrame, described: DataFrame, *columns: str) -> DataFrame:
+    for side in ("a", "b"):
+        own = described.select(F.col("c").alias(side), *[F.col(x).alias(f"{x}_{side}") for x in columns])
+        pairs = pairs.join(own, side)
+    return pairs
+
+
+def _links(texts: DataFrame, classes: DataFrame, near: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of set hashes whose sets are similar; their texts are fetched."""
+    near = stage(near, "near")
     wanted = near.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(classes, "c")
     wanted = small(wanted.select(F.col("first.doc_id").alias("id"), F.col("first.tag").alias("its_tag")).distinct())
     same = texts["doc_id"].eqNullSafe(F.col("id")) & (texts["tag"] == F.col("its_tag"))
@@ -230,7 +306,7 @@ def _links(texts: DataFrame, classes: DataFrame, bitmaps: DataFrame, pairs: Data
         .mapInPandas(_described, "c long, shingles binary").dropDuplicates(["c"]),
         "sets",
     )
-    return stage(joined(near, described, "shingles").mapInPandas(_verified, "a long, b long"), "links")
+    return stage(_joined(near, described, "shingles").mapInPandas(_verified, "a long, b long"), "links")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -249,15 +325,16 @@ def link_documents(docs: DataFrame) -> DataFrame:
     holds the classes that share one of their rarest shingles.  A class alone in its tiles is done;
     in small tiles all pairs of near sizes are candidates; in larger ones, in bands of sizes, each
     with the smallest of its band and with the next, which links a group of near copies without
-    its pairs.  Candidates are checked by bitmaps, then exactly.  What is left are the pairs of a
-    larger tile that lie in different components after that, which are checked in a second round.
+    its pairs.  Candidates are checked by bitmaps, then exactly.  Similar sets meet in a small
+    tile unless one of them has more shingles of larger tiles than its reserve, mostly near
+    copies of many others; the pairs of those with members of their larger tiles are checked in a
+    second round where they lie in different components after the first.
     """
-    spark = docs.sparkSession
     texts = _identified(docs)
     summaries = stage(
         texts.mapInPandas(_summaries, "doc_id long, tag long, n long, c long, bits binary, counts array<long>"), "summaries"
     )
-    levels = _levels(spark, summaries)
+    levels = docs.sparkSession.sparkContext.broadcast(_levels(summaries))
     rows = summaries.where("n >= 0").select("doc_id", "tag", "n", "c")
     node = F.coalesce("doc_id", F.lit(NAMELESS) + F.col("c").bitwiseAND(NAMELESS // 2 - 1))
     classes = stage(
@@ -274,23 +351,26 @@ def link_documents(docs: DataFrame) -> DataFrame:
     )
     first = classes.select("c", "first")
     bitmaps = summaries.where("n > 0").select("c", "n", "bits").dropDuplicates(["c"])
-    links = _links(texts, first, bitmaps, tiled.where("key IS NULL").select("a", "b"))
+    links = _links(texts, first, _bounded_pairs(tiled.where("key IS NULL").select("a", "b"), bitmaps))
     roots = components(links)
-    members = (
-        tiled.where("key IS NOT NULL").select("key", F.col("a").alias("c"), "n")
-        .join(roots.withColumnRenamed("node", "c"), "c", "left")
-        .withColumn("root", F.coalesce("root", "c"))
-    )
-    several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    members = stage(members.join(several.where("low <> high").select("key"), "key"), "members")
-    if not members.isEmpty():
-        one, other = members.alias("x"), members.alias("y")
-        crossing = one.join(
-            other,
-            (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.root") != F.col("y.root"))
-            & (OF * F.least("x.n", "y.n") >= SIMILAR * F.greatest("x.n", "y.n")),
-        ).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
-        more = _links(texts, first, bitmaps, crossing)
+    members = stage(tiled.where("key IS NOT NULL").select("key", F.col("a").alias("c"), "n"), "members")
+    needed = F.col("n") - F.ceil(F.col("n") * SIMILAR / OF) + 1
+    heavy = members.groupBy("c", "n").agg(F.count("*").alias("tiles")).where(F.col("tiles") > F.floor(needed / 4))
+    if not heavy.isEmpty():
+        rooted = stage(
+            members.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+            .join(heavy.select("c", F.lit(True).alias("heavy")), "c", "left").na.fill(False, ["heavy"]),
+            "rooted",
+        )
+        several = rooted.groupBy("key").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("heavy").alias("any")
+        ).where("low <> high AND any").select("key")
+        more = _links(
+            texts, first,
+            rooted.join(several, "key").join(bitmaps.select("c", "bits"), "c")
+            .repartition("key").sortWithinPartitions("key")
+            .mapInPandas(_crossing, "a long, b long").distinct(),
+        )
         if not more.isEmpty():
             roots = components(links.unionByName(more))
     rooted = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
