@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import stage, words_of
 
-#: Word positions that a seed compares; it ignores the others.
+#: Word positions that a seed compares; it ignores the others.  All compare the first two.
 MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 8), (0, 1, 4, 6, 7, 8))
 SPAN = 9
 #: Words of an overlap, and how many of them must be equal at the same place.
@@ -29,11 +29,16 @@ def _key(hashes: Column, start: Column, mask: int, positions: Iterable[int]) ->
     return F.xxhash64(F.lit(mask), *[hashes[start + k] for k in positions])
 
 
-def _seeds(rows: DataFrame, lengths: list[int]) -> DataFrame:
+def _pair(words: Column, start: Column) -> Column:
+    return F.xxhash64(words[start], words[start + 1])
+
+
+def _seeds(rows: DataFrame, lengths: list[int], pairs: DataFrame | None = None) -> DataFrame:
     """rows with their words, as key and start for each seed of each place.
 
     Items of fewer than SPAN words are sought by all their words, for which lengths has the
-    numbers of words that occur.
+    numbers of words that occur.  With pairs, only places whose first two words are among them
+    give seeds.
     """
     def starts(length: int) -> Column:
         # Not a filter, which the optimiser would move below the words and so compute them twice.
@@ -41,6 +46,8 @@ def _seeds(rows: DataFrame, lengths: list[int]) -> DataFrame:
         return F.explode(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")))
 
     spaced = rows.withColumn("start", starts(SPAN))
+    if pairs is not None:
+        spaced = spaced.join(pairs, _pair(F.col("words"), F.col("start")) == pairs["pair"], "left_semi")
     keys = [_key(F.col("words"), F.col("start"), i, mask) for i, mask in enumerate(MASKS)]
     found = [spaced.withColumn("key", F.explode(F.array(*keys)))]
     for length in lengths:
@@ -88,8 +95,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BRO
 
     Seeds of the benchmark are broadcast behind a check of their number, so that the places of
     the documents, in rows that exist in generated code only, are not shuffled; hits are verified
-    where they arise and counted before the shuffle.  Beyond that number Spark joins by a
-    shuffle.
+    where they arise and counted before the shuffle; a first look at two words spares most places
+    the hashes of all masks.  Beyond that number Spark joins by a shuffle.
     """
     items = stage(
         benchmark.select(benchmark["item_id"].alias("item_id"), _hashes(benchmark["text"]).alias("words"))
@@ -111,13 +118,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BRO
         of_items = of_items.unionByName(
             described(exact.withColumn("key", _key(F.col("words"), F.col("start"), -length, range(length))))
         )
-    of_items = stage(of_items, "seeds")
+    of_items, pairs = stage(of_items, "seeds"), None
     if of_items.count() <= broadcast_seeds:
         of_items = F.broadcast(of_items)
+        at = SPAN - OVERLAP
+        first_two = F.xxhash64(F.col("item_words")[-at], F.col("item_words")[1 - at])
+        pairs = F.broadcast(of_items.select(first_two.alias("pair")).distinct())
     words = docs.select(docs["doc_id"].alias("doc_id"), _hashes(docs["text"]).alias("words"))
     equal, enough = _overlaps()
     return (
-        _seeds(words, lengths)
+        _seeds(words, lengths, pairs)
         .join(of_items, "key")
         .select("doc_id", "item_id", "item_start", "item_words", "n", "start", _around(F.col("words"), F.col("start")).alias("its_words"))
         .select("doc_id", "item_id", "item_start", "n", "start", equal.alias("equal"))
