@@ -155,3 +155,8 @@ def test_job_results_equal_profile_and_verify(spark, landing, tmp_path):
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_blanks_around_a_source_do_not_lose_its_rules(spark):
+    rules = spark.createDataFrame([(" t ", "a", "s"), ("u", "a", "s")], "source string, field string, isComplete string")
+    assert [row["source"] for row in tm.rules_for(rules, "t").collect()] == ["t"]

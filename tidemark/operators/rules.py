@@ -137,8 +137,8 @@ def typed_rules(active: DataFrame) -> DataFrame:
 
 
 def rules_for(rules: DataFrame, source: str) -> DataFrame:
-    """The rules of one table."""
-    return rules.where(F.col("source") == source)
+    """The rules of one table; blanks around its name in a rule do not count."""
+    return rules.where(F.trim("source") == source).withColumn("source", F.lit(source))
 
 
 def rejected_rules(rules: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.constraints import RESULT_COLUMNS, RESULT_SCHEMA, evaluate
+from tidemark.operators.rules import rules_for
 from tidemark.operators.scan import Request
 from tidemark.plans.metrics import compute
 from tidemark.plans.profile import profile_requests, profile_rows
@@ -53,10 +54,6 @@ def run(
     landed: dict[str, list[str]] = {}
     for row in files.landed_files(spark, landing, interfaces, pattern).collect():
         landed.setdefault(row["interface"], []).append(row["path"])
-    rules_by_source: dict[str, list] = {}
-    wanted = rules.where(rules["source"].isin(list(interfaces)))
-    for row in read_rules_of(wanted):
-        rules_by_source.setdefault(row["source"], []).append(row)
 
     def one(interface: str) -> tuple:
         targets = files.profile_path(out, interface), files.verification_path(out, interface)
@@ -64,7 +61,7 @@ def run(
             if interface not in landed:
                 raise FileNotFoundError(f"nothing landed for {interface}")
             df = read(spark, interface, sorted(landed[interface]))
-            _process(df, rules_by_source.get(interface, []), *targets)
+            _process(df, read_rules_of(rules_for(rules, interface)), *targets)
         except Exception as error:  # one interface must not stop the others
             return interface, "Failure", _first_line(error), None, None
         return interface, "Success", "", *targets
