@@ -21,6 +21,13 @@ SLOTS = 1 << SLOT_BITS
 SMALL = 12
 #: Texts, or pairs, that a task works on at a time.
 BATCH = 1_000
+#: Rows of a tile that a task holds at a time in the first round.
+CHUNK = 20_000
+#: Members of a tile that meet each other in one task of the second round; of a larger tile every
+#: two blocks of about as many meet.
+BLOCK = 2_000
+#: Keys of a document's tiles, the smallest first, that tell whether a pair has met before.
+FIRST_KEYS = 32
 #: Nodes from here on stand for documents without an id.
 NAMELESS = 1 << 62
 
@@ -95,39 +102,47 @@ def _prefix_rows(levels: Broadcast):
     return rows
 
 
-def _tile(key: int, c: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+def _leaders(n: np.ndarray) -> np.ndarray:
+    """For each of the sorted sizes the place of the smallest of its band."""
+    leaders, at = np.zeros(len(n), np.int64), 0
+    while at < len(n):
+        end = int(np.searchsorted(n, n[at] * OF // SIMILAR, "right"))
+        leaders[at:end] = at
+        at = end
+    return leaders
+
+
+def _tile(c: np.ndarray, n: np.ndarray, part_of_large: bool) -> tuple[np.ndarray, np.ndarray, bool]:
     """Candidate pairs of one tile, sorted by size, and whether some are left to a second look."""
     g = len(c)
-    if g <= SMALL:
+    if g <= SMALL and not part_of_large:
         i, j = np.triu_indices(g, 1)
         near = OF * n[i] >= SIMILAR * n[j]
         return c[i[near]], c[j[near]], False
     # In each band of sizes all with the smallest, and each with the next in size.
-    leaders = np.zeros(g, np.int64)
-    at = 0
-    while at < g:
-        end = int(np.searchsorted(n, n[at] * OF // SIMILAR, "right"))
-        leaders[at:end] = at
-        at = end
-    i = np.concatenate([leaders, np.arange(g - 1)])
+    i = np.concatenate([_leaders(n), np.arange(g - 1)])
     j = np.concatenate([np.arange(g), np.arange(1, g)])
     near = (i != j) & (OF * n[i] >= SIMILAR * n[j])
     return c[i[near]], c[j[near]], True
 
 
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs (key null) and the members of tiles that need a second look; input sorted by key."""
-    def tiles(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates()
-        key, c, n = (rows[x].to_numpy() for x in ("key", "c", "n"))
+    """Pairs (key null) and the members of tiles that need a second look.
+
+    Input sorted by key, size and hash.  A tile of more than CHUNK rows comes in parts, each led
+    by the leader of the last band so far and the last row.
+    """
+    def tiles(rows: pd.DataFrame, part_of_large: bool) -> pd.DataFrame:
+        key, c, n, old = (rows[x].to_numpy() for x in ("key", "c", "n", "old"))
         heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(heads, len(key)))
-        two = heads[sizes == 2]
+        two = heads[(sizes == 2) & (not part_of_large)]
         near = OF * n[two].astype(np.int64) >= SIMILAR * n[two + 1].astype(np.int64)
         firsts, seconds, members = [c[two[near]]], [c[two[near] + 1]], []
-        for head, size in zip(heads[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+        others = (sizes > 2) | part_of_large
+        for head, size in zip(heads[others].tolist(), sizes[others].tolist()):
             part = slice(head, head + size)
-            a, b, more = _tile(key[head], c[part], n[part].astype(np.int64))
+            a, b, more = _tile(c[part], n[part].astype(np.int64), part_of_large)
             firsts.append(a)
             seconds.append(b)
             if more:
@@ -138,12 +153,13 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out["key"] = out["key"].astype("Int64")
         if members:
             at = np.concatenate([np.arange(p.start, p.stop) for p in members])
+            at = at[~old[at]]
             left = pd.DataFrame({"a": c[at], "b": c[at], "key": pd.array(key[at], "Int64"), "n": n[at]})
             out = pd.concat([out, left])
         return out[["key", "a", "b", "n"]]
 
-    for rows in _whole_tiles(batches):
-        yield tiles(rows)
+    for rows, part in _parts_of_tiles(batches):
+        yield tiles(rows, part)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -170,13 +186,19 @@ def _similar(overlap, n, m):
 def _crossing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs of members of one tile, one of them heavy, that the bitmaps do not tell apart.
 
-    Input sorted by tile; only pairs of different components and near sizes are compared, each
-    member with all others at once, and no pair leaves the task that the bitmaps exclude.
+    Input sorted by tile and blocks; only pairs of different components and near sizes are
+    compared, each member with all others at once.  No pair leaves the task that the bitmaps
+    exclude, or that has met in a tile of a smaller key, as far as FIRST_KEYS tell.
     """
 
     def compared(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        c, n, root, heavy = (rows[x].to_numpy() for x in ("c", "n", "root", "heavy"))
+        c, n, root, heavy, own_block = (rows[x].to_numpy() for x in ("c", "n", "root", "heavy", "own"))
         n = n.astype(np.int64)
+        one_block = rows["low"].iloc[0] == rows["high"].iloc[0]
+        key = rows["key"].iloc[0]
+        before = np.full((len(c), FIRST_KEYS), key, np.int64)
+        for at, keys in enumerate(rows["firsts"]):
+            before[at, : len(keys)] = np.minimum(keys, key)
         widths = rows["bits"].map(len).to_numpy()
         for width in np.unique(widths):
             # Near sizes have bitmaps of one width, or one of twice the other.
@@ -192,7 +214,7 @@ def _crossing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 rest = np.arange(i + 1, len(at))
                 a, b = at[i], at[rest]
                 near = (
-                    (root[b] != root[a]) & (heavy[b] | heavy[a])
+                    (root[b] != root[a]) & (heavy[b] | heavy[a]) & (one_block | (own_block[b] != own_block[a]))
                     & (OF * np.minimum(n[a], n[b]) >= SIMILAR * np.maximum(n[a], n[b]))
                 )
                 rest, b = rest[near], b[near]
@@ -202,34 +224,90 @@ def _crossing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 only_a = np.bitwise_count(bits[i]).sum(dtype=np.int64) - both
                 only_b = np.bitwise_count(bits[rest]).sum(1, dtype=np.int64) - both
                 b = b[_similar(np.minimum(n[a] - only_a, n[b] - only_b), n[a], n[b])]
+                mine = before[a][before[a] < key]
+                if len(b) and len(mine):
+                    b = b[~np.isin(before[b], mine).any(1)]
                 yield np.full(len(b), c[a]), c[b]
 
     def pairs(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [pair for _, tile in rows.groupby("key", sort=False) for pair in compared(tile)]
+        found = [pair for _, part in rows.groupby(["key", "low", "high"], sort=False) for pair in compared(part)]
         a = np.concatenate([np.empty(0, np.int64), *[x for x, _ in found]])
         b = np.concatenate([np.empty(0, np.int64), *[y for _, y in found]])
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
-    for rows in _whole_tiles(batches):
+    for rows in _whole_groups(batches, ["key", "low", "high"]):
         yield pairs(rows)
 
 
-def _whole_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The same rows, sorted by key, in frames that cut no key apart."""
+def _blocks(members: DataFrame) -> DataFrame:
+    """Each member of a tile of g rows once for every two blocks (low, high) that it belongs to."""
+    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("c"), blocks).cast("int")
+    return (
+        members.withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other", "g")
+    )
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """The same rows, sorted by some columns, in frames that cut no group of these apart."""
     held: list[pd.DataFrame] = []
     for batch in batches:
-        if held and len(batch) and batch["key"].iloc[0] == batch["key"].iloc[-1] == held[-1]["key"].iloc[-1]:
+        if not len(batch):
+            continue
+        last = batch[by].iloc[-1]
+        if held and (batch[by].iloc[0] == last).all() and (held[-1][by].iloc[-1] == last).all():
             held.append(batch)
             continue
         rows = pd.concat([*held, batch])
-        whole = (rows["key"] != rows["key"].iloc[-1]).to_numpy() if len(rows) else np.zeros(0, bool)
+        whole = (rows[by] != last).any(axis=1).to_numpy()
         if whole.any():
             yield rows[whole]
         held = [rows[~whole]]
-    if held and len(held[0]):
+    if held:
         yield pd.concat(held)
 
 
+def _parts_of_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, bool]]:
+    """Distinct rows in frames of whole tiles, or of one part of a tile of more than CHUNK rows.
+
+    The column old marks the rows that a part repeats from the one before it.
+    """
+    held, large = None, False
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch.assign(old=False)
+        if held is not None:
+            rows = pd.concat([held, rows])
+        rows = rows.drop_duplicates(["key", "c", "n"])
+        if large:
+            of_it = (rows["key"] == rows["key"].iloc[0]).to_numpy()
+            yield rows[of_it], True
+            large = bool(of_it.all())
+            held = _led(rows) if large else None
+            rows = rows[~of_it]
+            if not len(rows):
+                continue
+        last = (rows["key"] == rows["key"].iloc[-1]).to_numpy()
+        if not last.all():
+            yield rows[~last], False
+        held = rows[last]
+        if len(held) > CHUNK:
+            large = True
+            yield held, True
+            held = _led(held)
+    if held is not None and not large:
+        yield held, False
+
+
+def _led(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of the rows of a tile, sorted by size, the leader of the last band and the last one."""
+    leader = int(_leaders(rows["n"].to_numpy().astype(np.int64))[-1])
+    return rows.iloc[sorted({leader, len(rows) - 1})].assign(old=True)
+
+
 def _bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keep = [
@@ -363,12 +441,14 @@ def link_documents(docs: DataFrame) -> DataFrame:
             "rooted",
         )
         several = rooted.groupBy("key").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("heavy").alias("any")
-        ).where("low <> high AND any").select("key")
+            F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("heavy").alias("any"), F.count("*").alias("g")
+        ).where("low <> high AND any").select("key", "g")
+        meeting = stage(rooted.join(several, "key"), "meeting")
+        firsts = meeting.groupBy("c").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST_KEYS).alias("firsts"))
         more = _links(
             texts, first,
-            rooted.join(several, "key").join(bitmaps.select("c", "bits"), "c")
-            .repartition("key").sortWithinPartitions("key")
+            _blocks(meeting).join(firsts.join(bitmaps.select("c", "bits"), "c"), "c")
+            .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
             .mapInPandas(_crossing, "a long, b long").distinct(),
         )
         if not more.isEmpty():
