@@ -17,6 +17,8 @@ WORDS, SIMILAR, OF = 5, 75, 100
 #: Counters of the frequency sketch of shingles, and the bits of a hash that choose one.
 SLOT_BITS = 20
 SLOTS = 1 << SLOT_BITS
+#: Rows in which a task hands its sketch on.
+SEGMENTS = 64
 #: Members of a tile up to which all its pairs become candidates at once.
 SMALL = 12
 #: Texts, or pairs, that a task works on at a time.
@@ -27,7 +29,7 @@ CHUNK = 20_000
 #: two blocks of about as many meet.
 BLOCK = 2_000
 #: Keys of a document's tiles, the smallest first, that tell whether a pair has met before.
-FIRST_KEYS = 32
+FIRST_KEYS = 8
 #: Nodes from here on stand for documents without an id.
 NAMELESS = 1 << 62
 
@@ -61,7 +63,10 @@ def _sets(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[np.ndarray],
 
 
 def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """doc_id, tag, size, hash and bitmap of each set, and at the end the frequencies of the task."""
+    """doc_id, tag, size, hash and bitmap of each set, and at the end the frequencies of the task.
+
+    These come in segments, whose number stands in for the hash.
+    """
     counts = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for part, sets, hashes in _sets(batch):
@@ -71,7 +76,10 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "doc_id": part["doc_id"].astype("Int64"), "tag": part["tag"], "n": [len(s) for s in sets],
                 "c": hashes, "bits": [signature(s).tobytes() for s in sets], "counts": None,
             })
-    yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "tag": 0, "n": -1, "c": 0, "bits": None, "counts": [counts]})
+    for segment, own in enumerate(counts.reshape(SEGMENTS, -1)):
+        yield pd.DataFrame({
+            "doc_id": pd.array([None], "Int64"), "tag": 0, "n": -1, "c": segment, "bits": None, "counts": [own],
+        })
 
 
 def _prefix_rows(levels: Broadcast):
@@ -341,22 +349,28 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros(SLOTS, np.int64)
+    totals: dict[int, np.ndarray] = {}
     for batch in batches:
-        for own in batch["counts"]:
-            counts += own
-    yield pd.DataFrame({"counts": [counts]})
+        for segment, own in zip(batch["c"].tolist(), batch["counts"]):
+            if segment in totals:
+                totals[segment] += own
+            else:
+                totals[segment] = own.copy()
+    for segment, total in totals.items():
+        yield pd.DataFrame({"c": [segment], "counts": [total]})
 
 
 def _levels(summaries: DataFrame) -> np.ndarray:
     """How far above the mean the counter of each slot is, in half doublings.
 
-    The sketches of the tasks are added up in two steps; one, of a fixed size, reaches the driver.
+    The sketches of the tasks are added up segment by segment; one, of a fixed size, reaches the
+    driver.
     """
-    sketches = summaries.where("counts IS NOT NULL").select("counts")
-    some = max(1, int(sketches.count() ** 0.5))
-    added = sketches.repartition(some).mapInPandas(_added, "counts array<long>")
-    counts = np.array(added.repartition(1).mapInPandas(_added, "counts array<long>").first()["counts"], float)
+    sketches = summaries.where("counts IS NOT NULL").select("c", "counts").repartition(SEGMENTS, "c")
+    added = sketches.mapInPandas(_added, "c long, counts array<long>").collect()
+    counts = np.concatenate([np.zeros(0), *[r["counts"] for r in sorted(added, key=lambda r: r["c"])]])
+    if not len(counts):
+        counts = np.zeros(SLOTS)
     above = np.maximum(counts / max(counts.mean(), 1.0), 1.0)
     return np.minimum(np.log2(above) * 2, 63).astype(np.uint8)
 
@@ -443,7 +457,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
         several = rooted.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"), F.bool_or("heavy").alias("any"), F.count("*").alias("g")
         ).where("low <> high AND any").select("key", "g")
-        meeting = stage(rooted.join(several, "key"), "meeting")
+        meeting = rooted.join(several, "key")
         firsts = meeting.groupBy("c").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST_KEYS).alias("firsts"))
         more = _links(
             texts, first,
