@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from tidemark.llm.components import components
 #: Words of a shingle, and the similarity of a link as a fraction.
 WORDS, SIMILAR, OF = 5, 75, 100
 #: Counters of the frequency sketch of shingles, and the bits of a hash that choose one.
-SLOT_BITS = 20
+SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
 #: Rows in which a task hands its sketch on.
 SEGMENTS = 64
@@ -78,12 +79,25 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             })
     for segment, own in enumerate(counts.reshape(SEGMENTS, -1)):
         yield pd.DataFrame({
-            "doc_id": pd.array([None], "Int64"), "tag": 0, "n": -1, "c": segment, "bits": None, "counts": [own],
+            "doc_id": pd.array([None], "Int64"), "tag": 0, "n": -1, "c": segment, "bits": None,
+            "counts": [_packed(own)],
         })
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters, most of them small, in few bytes."""
+    return zlib.compress(counts.astype(np.int64).tobytes(), 1)
+
+
+def _unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(counts), np.int64)
+
+
 def _prefix_rows(levels: Broadcast):
-    """Of each set the shingles that deal it to tiles, rare ones first."""
+    """Of each set the shingles that deal it to tiles, rare ones first.
+
+    n is twice the size of the set, and one more where the shingle is of the reserve.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -96,15 +110,16 @@ def _prefix_rows(levels: Broadcast):
                     if len(seen) < 100_000:  # copies are joined later anyway
                         seen.add(c)
                     order = (levels.value[_slots(s)].astype(np.uint64) << np.uint64(58)) | (s >> np.uint64(6))
+                    needed = prefix(len(s))[0]
                     k = min(len(s), sum(prefix(len(s))))
-                    keys.append(np.partition(order, k - 1)[:k] if k < len(s) else order)
+                    keys.append(np.partition(order, (needed - 1, k - 1))[:k])
                     owners.append(c)
-                    sizes.append(len(s))
+                    sizes.append(2 * len(s) + (np.arange(k) >= needed))
                 lengths = [len(k) for k in keys]
                 yield pd.DataFrame({
                     "key": np.concatenate([_NO_SHINGLES, *keys]).view(np.int64),
                     "c": np.repeat(np.array(owners, np.int64), lengths),
-                    "n": np.repeat(np.array(sizes, np.int32), lengths),
+                    "n": np.concatenate([np.empty(0, np.int32), *sizes]).astype(np.int32),
                 })
 
     return rows
@@ -137,11 +152,12 @@ def _tile(c: np.ndarray, n: np.ndarray, part_of_large: bool) -> tuple[np.ndarray
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pairs (key null) and the members of tiles that need a second look.
 
-    Input sorted by key, size and hash.  A tile of more than CHUNK rows comes in parts, each led
-    by the leader of the last band so far and the last row.
+    Input as of _prefix_rows, sorted by key, size and hash; spare marks members by their reserve.
+    A tile of more than CHUNK rows comes in parts, each led by the leader of the last band so far
+    and the last row.
     """
     def tiles(rows: pd.DataFrame, part_of_large: bool) -> pd.DataFrame:
-        key, c, n, old = (rows[x].to_numpy() for x in ("key", "c", "n", "old"))
+        key, c, n, spare, old = (rows[x].to_numpy() for x in ("key", "c", "n", "spare", "old"))
         heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(heads, len(key)))
         two = heads[(sizes == 2) & (not part_of_large)]
@@ -157,15 +173,16 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 members.append(part)
         a, b = np.concatenate(firsts), np.concatenate(seconds)
         pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-        out = pairs[pairs["a"] != pairs["b"]].assign(key=pd.array([pd.NA], "Int64")[0], n=0)
+        out = pairs[pairs["a"] != pairs["b"]].assign(key=pd.array([pd.NA], "Int64")[0], n=0, spare=False)
         out["key"] = out["key"].astype("Int64")
         if members:
             at = np.concatenate([np.arange(p.start, p.stop) for p in members])
             at = at[~old[at]]
-            left = pd.DataFrame({"a": c[at], "b": c[at], "key": pd.array(key[at], "Int64"), "n": n[at]})
+            left = pd.DataFrame({"a": c[at], "b": c[at], "key": pd.array(key[at], "Int64"), "n": n[at], "spare": spare[at]})
             out = pd.concat([out, left])
-        return out[["key", "a", "b", "n"]]
+        return out[["key", "a", "b", "n", "spare"]]
 
+    batches = (batch.assign(n=batch["n"] // 2, spare=batch["n"] % 2 == 1) for batch in batches)
     for rows, part in _parts_of_tiles(batches):
         yield tiles(rows, part)
 
@@ -352,12 +369,9 @@ def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
         for segment, own in zip(batch["c"].tolist(), batch["counts"]):
-            if segment in totals:
-                totals[segment] += own
-            else:
-                totals[segment] = own.copy()
+            totals[segment] = totals.get(segment, 0) + _unpacked(own)
     for segment, total in totals.items():
-        yield pd.DataFrame({"c": [segment], "counts": [total]})
+        yield pd.DataFrame({"c": [segment], "counts": [_packed(total)]})
 
 
 def _levels(summaries: DataFrame) -> np.ndarray:
@@ -367,8 +381,8 @@ def _levels(summaries: DataFrame) -> np.ndarray:
     driver.
     """
     sketches = summaries.where("counts IS NOT NULL").select("c", "counts").repartition(SEGMENTS, "c")
-    added = sketches.mapInPandas(_added, "c long, counts array<long>").collect()
-    counts = np.concatenate([np.zeros(0), *[r["counts"] for r in sorted(added, key=lambda r: r["c"])]])
+    added = sketches.mapInPandas(_added, "c long, counts binary").collect()
+    counts = np.concatenate([np.zeros(0), *[_unpacked(r["counts"]) for r in sorted(added, key=lambda r: r["c"])]])
     if not len(counts):
         counts = np.zeros(SLOTS)
     above = np.maximum(counts / max(counts.mean(), 1.0), 1.0)
@@ -424,7 +438,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     """
     texts = _identified(docs)
     summaries = stage(
-        texts.mapInPandas(_summaries, "doc_id long, tag long, n long, c long, bits binary, counts array<long>"), "summaries"
+        texts.mapInPandas(_summaries, "doc_id long, tag long, n long, c long, bits binary, counts binary"), "summaries"
     )
     levels = docs.sparkSession.sparkContext.broadcast(_levels(summaries))
     rows = summaries.where("n >= 0").select("doc_id", "tag", "n", "c")
@@ -438,20 +452,22 @@ def link_documents(docs: DataFrame) -> DataFrame:
     tiled = stage(
         texts.select("text").mapInPandas(_prefix_rows(levels), "key long, c long, n int")
         .repartition("key").sortWithinPartitions("key", "n", "c")
-        .mapInPandas(_candidates, "key long, a long, b long, n int"),
+        .mapInPandas(_candidates, "key long, a long, b long, n int, spare boolean"),
         "candidates",
     )
     first = classes.select("c", "first")
     bitmaps = summaries.where("n > 0").select("c", "n", "bits").dropDuplicates(["c"])
     links = _links(texts, first, _bounded_pairs(tiled.where("key IS NULL").select("a", "b"), bitmaps))
     roots = components(links)
-    members = stage(tiled.where("key IS NOT NULL").select("key", F.col("a").alias("c"), "n"), "members")
+    members = stage(tiled.where("key IS NOT NULL").select("key", F.col("a").alias("c"), "n", "spare"), "members")
+    # Similar sets share a shingle that deals both to a tile without their reserve, so those rows
+    # tell which sets are heavy, and the others meet again.
     needed = F.col("n") - F.ceil(F.col("n") * SIMILAR / OF) + 1
     heavy = members.groupBy("c", "n").agg(F.count("*").alias("tiles")).where(F.col("tiles") > F.floor(needed / 4))
     if not heavy.isEmpty():
         rooted = stage(
-            members.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-            .join(heavy.select("c", F.lit(True).alias("heavy")), "c", "left").na.fill(False, ["heavy"]),
+            members.where("NOT spare").join(roots.withColumnRenamed("node", "c"), "c", "left")
+            .withColumn("root", F.coalesce("root", "c")).join(heavy.select("c", F.lit(True).alias("heavy")), "c", "left").na.fill(False, ["heavy"]),
             "rooted",
         )
         several = rooted.groupBy("key").agg(
