@@ -75,8 +75,18 @@ def text_value_type(value: str) -> str:
     )
 
 
+def is_collated(dtype: T.DataType) -> bool:
+    """Text of which different bytes may be equal."""
+    return getattr(dtype, "collation", "UTF8_BINARY") != "UTF8_BINARY"
+
+
 def sketch_hash(value: str, dtype: T.DataType) -> str:
-    """A 64-bit hash for the distinct-count sketch; null stays null, -0.0 equals 0.0."""
+    """What the distinct-count sketch takes: a 64-bit hash; null stays null, -0.0 equals 0.0.
+
+    A collated text is left to the sketch, which heeds the collation but skips empty texts.
+    """
+    if is_collated(dtype):
+        return f"concat({value}, '.')"
     hashed = f"{value} + 0.0d" if isinstance(dtype, (T.FloatType, T.DoubleType)) else value
     return f"if({value} IS NULL, NULL, xxhash64({hashed}))"
 
@@ -86,8 +96,11 @@ def frequency_key(value: str, dtype: T.DataType) -> tuple[str, str]:
 
     Keys share as few types as possible so that columns can be counted together.  A long
     text is replaced by its SHA-256 and length, which is longer than any short text and so
-    never equals one; whole documents then need not be shuffled to be counted.
+    never equals one; whole documents then need not be shuffled to be counted.  A collated
+    text has no digest that heeds its collation and stays as it is.
     """
+    if is_collated(dtype):
+        return dtype.simpleString(), value
     if is_integral(dtype):
         return "bigint", f"CAST({value} AS bigint)"
     if isinstance(dtype, T.BooleanType):

@@ -9,6 +9,7 @@ merges the sketches of every input partition, however many there are.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from decimal import Decimal, InvalidOperation
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -348,10 +349,27 @@ def _pattern_match(scan: Scan, column: str, params: str) -> Reported:
     yield "PatternMatch", scan.fraction(found)
 
 
+def _decimals(value: str) -> int:
+    """Decimals of a number, without zeros at its end; 0 for what is no number."""
+    try:
+        _, digits, exponent = Decimal(value.strip()).as_tuple()
+    except InvalidOperation:
+        return 0
+    if not isinstance(exponent, int) or not any(digits):
+        return 0
+    zeros = next(i for i, digit in enumerate(reversed(digits)) if digit)
+    return max(0, -exponent - zeros)
+
+
 def _literal(value: str, dtype: T.DataType) -> str:
-    """A rule's text as a value of the column's type; null if it is none."""
+    """A rule's text as a value of the column's type; null if it is none.
+
+    A number with more decimals than the column has is none of its values; a cast would round it.
+    """
     if C.is_text(dtype):
         return C.text(value)
+    if isinstance(dtype, T.DecimalType) and _decimals(value) > dtype.scale:
+        return f"CAST(NULL AS {dtype.simpleString()})"
     return f"try_cast({C.text(value)} AS {dtype.simpleString()})"
 
 

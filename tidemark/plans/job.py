@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from concurrent.futures import ThreadPoolExecutor
@@ -20,6 +21,8 @@ from tidemark.sources.folders import shared_folder
 
 OUTCOME_COLUMNS = ("interface", "status", "message", "profile", "verification")
 _OUTCOME_SCHEMA = pa.schema([(name, pa.string()) for name in OUTCOME_COLUMNS])
+# Errors that the values of a row cause: data exceptions and raise_error.
+_ROW_ERROR = re.compile("SQLSTATE: (22|P0001)")
 
 
 def run(
@@ -80,26 +83,37 @@ def _computed(
     """The metrics, kept in the shared folder: a row each, read by both writes of a job.
 
     A free predicate may fail on a row.  It is then the only rule that fails: the other
-    metrics are computed without the predicates, and each predicate on its own.
+    metrics are computed without the predicates, and of these the set is halved until those that
+    fail are found.  Other errors are raised.
     """
     requests = list(requests)
+    predicates = [r for r in dict.fromkeys(requests) if r.metric == "Satisfies"]
     table, problems = compute(df, requests)
     try:
         return table.checkpoint(), problems
-    except Exception:
-        predicates = [r for r in dict.fromkeys(requests) if r.metric == "Satisfies"]
-        if not predicates:
+    except Exception as error:
+        if not predicates or not _ROW_ERROR.search(str(error)):
             raise
-    table, problems = compute(df, [r for r in requests if r.metric != "Satisfies"])
-    parts = [table.checkpoint()]
-    for predicate in predicates:
-        table, problem = compute(df, [predicate])
-        problems |= problem
-        try:
-            parts.append(table.checkpoint())
-        except Exception as error:
-            problems[predicate] = f"predicate fails on the data: {_first_line(error)}"
-    return reduce(DataFrame.unionByName, parts), problems
+        failure = error
+
+    def holding(some: list[Request], error: Exception | None = None) -> list[DataFrame]:
+        """The metrics of those that fail on no row; with an error, one is known to fail."""
+        if error is None:
+            try:
+                return [compute(df, some)[0].checkpoint()]
+            except Exception as raised:
+                if not _ROW_ERROR.search(str(raised)):
+                    raise
+                error = raised
+        if len(some) == 1:
+            problems[some[0]] = f"predicate fails on the data: {_first_line(error)}"
+            return []
+        half = len(some) // 2
+        return holding(some[:half]) + holding(some[half:])
+
+    others = compute(df, [r for r in requests if r.metric != "Satisfies"])[0].checkpoint()
+    predicates = [r for r in predicates if r not in problems]
+    return reduce(DataFrame.unionByName, [others, *holding(predicates, failure)]), problems
 
 
 def _first_line(error: Exception) -> str:

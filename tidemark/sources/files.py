@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions import columns as C
 from tidemark.operators.rules import KEYS, RULES
 
 # File formats by the ending of a path; a landed file may also be a folder of part files.
 FORMATS = {"csv": "csv", "txt": "csv", "parquet": "parquet", "json": "json", "orc": "orc"}
+# Endings of compressed files that Spark opens by themselves.
+COMPRESSIONS = ("gz", "bz2", "deflate", "lz4", "snappy", "zst", "zstd")
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -47,23 +51,70 @@ def read_interface(
     *,
     fmt: str | None = None,
     table: str | None = None,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Landed files or folders of files of one interface with their declared schema.
 
-    A CSV file of which no schema is known is read once more to infer one.
+    CSV columns are bound to the declared ones by the header, or by place where the options say
+    that there is none.  A CSV file of which no schema is known is read once more to infer one.
+    Paths of several formats are read as one table, by column name.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if fmt is None:
-        fmt = FORMATS.get(paths[0].rstrip("/").rsplit(".", 1)[-1].lower(), "parquet")
-    reader = spark.read.format(fmt).options(**({"header": "true"} if fmt == "csv" else {}))
     declared = interface_schema(spark, table, schema)
-    if declared is not None:
-        reader = reader.schema(declared)
-    elif fmt == "csv":
-        reader = reader.option("inferSchema", True)
-    return reader.options(**(options or {})).load(paths)
+    if isinstance(declared, str):
+        declared = T.StructType.fromDDL(declared)
+    by_format: dict[str, list[str]] = {}
+    for one in paths:
+        by_format.setdefault(fmt or format_of(one), []).append(one)
+    parts = []
+    for kind, own in by_format.items():
+        given = {**({"header": "true"} if kind == "csv" else {}), **(options or {})}
+        reader = spark.read.format(kind).options(**given)
+        if kind == "csv" and declared is not None and str(given["header"]).lower() == "true":
+            parts.append(_bound_by_header(spark, own, declared, given))
+        elif declared is not None:
+            parts.append(reader.schema(declared).load(own))
+        elif kind == "csv" and "inferSchema" not in given:
+            parts.append(reader.option("inferSchema", True).load(own))
+        else:
+            parts.append(reader.load(own))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def format_of(path: str) -> str:
+    """The format of a landed file by its ending, one of compression aside; else Parquet."""
+    endings = path.rstrip("/").rsplit("/", 1)[-1].lower().split(".")[1:]
+    if len(endings) > 1 and endings[-1] in COMPRESSIONS:
+        endings.pop()
+    return FORMATS.get(endings[-1] if endings else "", "parquet")
+
+
+def _bound_by_header(
+    spark: SparkSession, paths: list[str], declared: T.StructType, options: dict[str, str]
+) -> DataFrame:
+    """CSV files with the declared columns, wherever they stand in a file; others are left out.
+
+    A declared column that a file lacks is an error, and so is a part file with another header
+    than the first of its folder.
+    """
+    exact = spark.conf.get("spark.sql.caseSensitive", "false") == "true"
+    folded = (lambda name: name) if exact else str.lower
+    types = {folded(field.name): field.dataType for field in declared.fields}
+    by_header: dict[tuple, list[str]] = {}
+    for path in paths:
+        header = spark.read.format("csv").options(**{**options, "inferSchema": "false"}).load(path).columns
+        by_header.setdefault(tuple(header), []).append(path)
+    parts = []
+    for header, own in by_header.items():
+        found = {folded(name) for name in header}
+        missing = [field.name for field in declared.fields if folded(field.name) not in found]
+        if missing:
+            raise ValueError(f"{own[0]} has no column {', '.join(missing)}")
+        in_file = T.StructType([T.StructField(c, types.get(folded(c), T.StringType())) for c in header])
+        rows = spark.read.format("csv").options(**options).option("enforceSchema", False).schema(in_file).load(own)
+        parts.append(rows.select(*[F.col(C.name(field.name)).alias(field.name) for field in declared.fields]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def landed_files(
@@ -71,23 +122,16 @@ def landed_files(
 ) -> DataFrame:
     """(interface, path): the landed files or folders of the requested interfaces.
 
-    Only file names are listed, no content is read.  The first group of `pattern`, applied to
-    an entry of the folder, is the interface name.
+    Only the entries of the folder itself are listed, no content is read.  The first group of
+    `pattern`, applied to an entry, is the interface name.
     """
     base = folder.rstrip("/")
-    # file:/a and file:///a are the same folder, so entries are found behind the bare path
-    bare = re.sub(r"^[a-zA-Z][\w+.-]*:/+", "/", base)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(base)
-        .select("path")
-    )
-    entry = F.regexp_extract("path", re.escape(bare) + r"/([^/]+)", 1)
+    at = spark._jvm.org.apache.hadoop.fs.Path(base)
+    listed = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    entries = pa.table({"entry": pa.array([one.getPath().getName() for one in listed], pa.string())})
     return (
-        files.select(entry.alias("entry"))
+        spark.createDataFrame(entries)
         .where(~F.col("entry").rlike(r"^[._]"))
-        .distinct()
         .select(
             F.regexp_extract("entry", pattern, 1).alias("interface"),
             F.concat(F.lit(base + "/"), "entry").alias("path"),
