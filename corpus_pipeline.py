@@ -23,8 +23,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one; those left without words go."""
-    return line_dedup.drop_repeated_lines(docs)
+    """Documents without lines, however short, that repeat an earlier one; those left without words go."""
+    return line_dedup.drop_repeated_lines(docs, **line_dedup.EVERY_LINE)
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import let, small, stage, words_of
 
-#: A shorter line is never a repeat, in words.
+#: The limits that the SQL of the registered query has: a shorter line is never a repeat, in words,
 MIN_WORDS = 3
-#: A line of fewer words repeats only an equal one; others also those one word away.
+#: and a line of fewer words repeats only an equal one; others also those one word away.
 MIN_EDITED = 8
+#: No limits: each line with a word can repeat an equal one.  One word away means something from
+#: three words on, of which two are then equal.
+EVERY_LINE = {"min_words": 1, "min_edited": 3}
 #: Sums of hashes are kept to this many bits, so that they cannot overflow.
 _BITS = (1 << 60) - 1
 #: Words whose sums are built at a time; see `_prefix_sums`.
@@ -123,15 +126,15 @@ def _one_apart(a: Column, b: Column) -> Column:
     )
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_edited: int = MIN_EDITED) -> DataFrame:
     """doc_id, line_no, first_doc_id, first_line_no, edits of each line that repeats an earlier one.
 
     Lines are split at \\n and compared by their lower-cased words.  Earlier is a line of a smaller
-    doc_id, or of the same document with a smaller line_no (from 0).  A line of MIN_WORDS or more
-    repeats an earlier one of equal words; one of MIN_EDITED or more also an earlier one, as long,
+    doc_id, or of the same document with a smaller line_no (from 0).  A line of min_words or more
+    repeats an earlier one of equal words; one of min_edited or more also an earlier one, as long,
     from which one word differs, is missing or is added.  first_... is the earliest of these, and
     edits is 0 if it is equal, else 1.  A line counts as repeated also where the earlier one is
-    itself a repeat.  Lines with fewer words, so empty ones too, are never repeats.  A null text
+    itself a repeat.  Lines with fewer words, and always those without a word, are never repeats.  A null text
     has no lines; a null doc_id is before all others.  Rows of one doc_id are ordered by a hash of
     their text, and lines of rows equal in both are at one place, so none repeats the other.  An
     empty table gives no rows; other columns of docs are left out.
@@ -144,10 +147,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """
     place = F.struct("doc_id", "tag", "line_no")
     lines = stage(
-        _lines(docs).where(F.size("words") >= MIN_WORDS).select(
+        _lines(docs).where(F.size("words") >= max(1, min_words)).select(
             place.alias("place"),
             F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"),
-            F.when(F.size("words") >= MIN_EDITED, _half_keys(F.col("words"))).alias("halves"),
+            F.when(F.size("words") >= max(2, min_edited), _half_keys(F.col("words"))).alias("halves"),
         ),
         "lines",
     )
@@ -213,13 +216,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
-    """docs without its repeated lines; the columns stay, n_chars (if any) follows the text.
+def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_edited: int = MIN_EDITED) -> DataFrame:
+    """docs without its `repeated_lines`; the columns stay, n_chars (if any) follows the text.
 
     A document that had words and has none left is left out: all that it says is in earlier
     ones.  A document without words, or without repeated lines, stays as it is.
     """
-    repeated = repeated_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(
+    repeated = repeated_lines(docs, min_words, min_edited).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(
         F.collect_set(F.col("line_no").cast("int")).alias("_gone")
     )
     rest = let(F.split(docs["text"], "\n"), lambda lines: F.array_join(F.transform(
