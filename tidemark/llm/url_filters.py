@@ -13,11 +13,17 @@ RULES = (
     ("block", "example.com/de/"),
     ("allow", "org/fr/"),
 )
-#: Steps of propagation, the share that goes on at each in per cent, and the mass of a seed.
+#: Steps of propagation in the SQL, the share that goes on at each in per cent, and the mass of a seed.
 STEPS, DAMPING, UNIT = 4, 85, 10**12
+#: Propagation ends when no mass changes by more in a step.
+TOLERANCE = 10**6
+#: Steps between two looks at the masses, each of which is staged.
+ROUNDS = 6
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Absolute link targets in a page; others lead to its own host.
+#: Absolute link targets in a page, as the SQL takes them.
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*([a-z][a-z0-9+.\-]*://[^"'\s>]*)"""
+#: The same and those that name a host but no scheme; others lead to the page's own host.
+ANY_LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^"'\s>]*)"""
 
 
 def host_of(url: Column) -> Column:
@@ -41,21 +47,38 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
     return found
 
 
+def _target(link: Column) -> Column:
+    """The host that a link names, with a scheme or without."""
+    return host_of(F.regexp_replace(link, "^//", "://"))
+
+
 def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """host and mass: personalised PageRank of the seeds over edges (source, target, ways).
 
-    ways is the number of targets of the source.  Whole numbers, so that the order of addition
-    is without effect.  A host without mass has no row.
+    ways is the number of targets of the source.  Masses start from what the seeds keep and only
+    grow; they are passed on until none changes by more than TOLERANCE in a step.  Whole numbers,
+    so that the order of addition is without effect, and decimal, so that none overflows.  A host
+    without mass has no row.
     """
-    start = seeds.select("host", F.lit(UNIT).alias("mass"))
-    kept = seeds.select("host", F.lit(UNIT * (100 - DAMPING) // 100).alias("mass"))
-    mass = start
-    for _ in range(STEPS):
-        sent = edges.join(mass, edges["source"] == mass["host"]).select(
-            F.col("target").alias("host"), F.expr(f"mass * {DAMPING} div (100 * ways)").alias("mass")
-        )
-        mass = kept.unionByName(sent).groupBy("host").agg(F.sum("mass").alias("mass"))
-    return mass
+    whole, none = "decimal(38,0)", F.lit(0).cast("decimal(38,0)")
+    edges = stage(edges, "ways")
+    kept = seeds.select("host", F.lit(UNIT * (100 - DAMPING) // 100).cast(whole).alias("mass"), none.alias("before"))
+    masses = stage(kept, "masses")
+    while True:
+        for _ in range(ROUNDS):
+            sent = edges.join(masses, edges["source"] == masses["host"]).select(
+                F.col("target").alias("host"),
+                F.expr(f"cast(mass * {DAMPING}BD div (100 * ways) AS {whole})").alias("mass"),
+                none.alias("before"),
+            )
+            old = masses.select("host", none.alias("mass"), F.col("mass").alias("before"))
+            masses = kept.unionByName(sent).unionByName(old).groupBy("host").agg(
+                F.sum("mass").cast(whole).alias("mass"), F.sum("before").cast(whole).alias("before")
+            )
+        masses = stage(masses, "masses")
+        change = masses.agg(F.max(F.col("mass") - F.col("before"))).first()[0]
+        if change is None or change <= TOLERANCE:
+            return masses.select("host", "mass").where("mass > 0")
 
 
 def judge_urls(pages: DataFrame) -> DataFrame:
@@ -66,7 +89,7 @@ def judge_urls(pages: DataFrame) -> DataFrame:
     and are no seeds of distrust, and follows the links; distrust starts from the hosts more than
     half of whose pages are blocked by a rule, and follows the links backwards, to those who link
     to them.  A null url, or one without `://`, has an empty host and path; pages without a host
-    are allowed, and no seeds.  A null html has no links.  Repeated rows are judged each and count
+    are allowed, and no seeds.  A null html has no links; `//host` is a link to that host.  Repeated rows are judged each and count
     each as a page; links of a host to itself do not count, and several to one host count once.
     An empty table gives no rows; other columns of pages are left out.
 
@@ -81,9 +104,9 @@ def judge_urls(pages: DataFrame) -> DataFrame:
             path_of(pages["url"]).alias("path"),
             F.transform(
                 F.array_distinct(F.coalesce(
-                    F.regexp_extract_all(pages["html"], F.lit(LINK), 1), F.array().cast("array<string>")
+                    F.regexp_extract_all(pages["html"], F.lit(ANY_LINK), 1), F.array().cast("array<string>")
                 )),
-                host_of,
+                _target,
             ).alias("targets"),
         ).withColumn("found", rule_of(F.col("host"), F.col("path"))),
         "pages",
@@ -123,8 +146,8 @@ def judge_urls(pages: DataFrame) -> DataFrame:
                 F.col("found.verdict"),
                 F.when(F.coalesce("distrust", F.lit(0)) > F.coalesce("trust", F.lit(0)), "block").otherwise("allow"),
             ).alias("verdict"),
-            F.coalesce("trust", F.lit(0)).alias("trust"),
-            F.coalesce("distrust", F.lit(0)).alias("distrust"),
+            F.coalesce("trust", F.lit(0)).cast("long").alias("trust"),
+            F.coalesce("distrust", F.lit(0)).cast("long").alias("distrust"),
         )
     )
 
