@@ -1,4 +1,4 @@
-"""Documents that hold passages of a benchmark, found by spaced seeds."""
+"""Documents that hold passages of a benchmark, found by runs of equal words."""
 
 from __future__ import annotations
 
@@ -9,13 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import stage, words_of
 
-#: Word positions that a seed compares; it ignores the others.  All compare the first two.
+#: Word positions that a spaced seed compares; it ignores the others.  All compare the first two.
+#: They count the hits, as the SQL does; what is found does not hang on them.
 MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 8), (0, 1, 4, 6, 7, 8))
 SPAN = 9
 #: Words of an overlap, and how many of them must be equal at the same place.
 OVERLAP, EQUAL_PERCENT = 13, 80
-#: An item of fewer words is too short to tell.
-MIN_ITEM = 5
 #: Seeds of the benchmark that are broadcast; more are joined by a shuffle.
 BROADCAST_SEEDS = 1_000_000
 
@@ -33,32 +32,51 @@ def _pair(words: Column, start: Column) -> Column:
     return F.xxhash64(words[start], words[start + 1])
 
 
-def _seeds(rows: DataFrame, lengths: list[int], pairs: DataFrame | None = None) -> DataFrame:
-    """rows with their words, as key and start for each seed of each place.
+def _run(n: int) -> int:
+    """Equal words in a row that each passage of an item of n words has at least.
 
-    Items of fewer than SPAN words are sought by all their words, for which lengths has the
-    numbers of words that occur.  With pairs, only places whose first two words are among them
-    give seeds.
+    Of the words of an overlap some may be replaced; the others lie in at most one run more than
+    these, and the longest of the runs is no shorter than their mean.
     """
-    def starts(length: int) -> Column:
-        # Not a filter, which the optimiser would move below the words and so compute them twice.
-        last = F.size("words") - length
-        return F.explode(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")))
+    overlap = min(n, OVERLAP)
+    equal = -(-overlap * EQUAL_PERCENT // 100)
+    return -(-equal // (overlap - equal + 1))
 
-    spaced = rows.withColumn("start", starts(SPAN))
+
+#: The run of a long item; some shorter ones have shorter runs.
+RUN = _run(OVERLAP)
+
+
+def _seeds(rows: DataFrame, run: int, pairs: DataFrame | None = None) -> DataFrame:
+    """rows with their words, as key, span and start for each seed of each place.
+
+    A seed is a run of so many words or, besides those of RUN words, a spaced one.  With pairs,
+    only places whose first two words are among them give seeds.
+    """
+    # Not a filter, which the optimiser would move below the words and so compute them twice.
+    last = F.size("words") - run
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    places = rows.withColumn("start", F.explode(starts))
+    words, start = F.col("words"), F.col("start")
     if pairs is not None:
-        spaced = spaced.join(pairs, _pair(F.col("words"), F.col("start")) == pairs["pair"], "left_semi")
-    keys = [_key(F.col("words"), F.col("start"), i, mask) for i, mask in enumerate(MASKS)]
-    found = [spaced.withColumn("key", F.explode(F.array(*keys)))]
-    for length in lengths:
-        whole = rows.withColumn("start", starts(length))
-        found.append(whole.withColumn("key", _key(F.col("words"), F.col("start"), -length, range(length))))
-    return reduce(DataFrame.unionByName, found)
+        places = places.join(pairs, _pair(words, start) == pairs["pair"], "left_semi")
+    # Apart from the numbers of the masks.
+    keys = [_key(words, start, -run, range(run))]
+    if run == RUN:
+        fits = start + SPAN <= F.size("words")
+        # Null beyond the end, which joins nothing.
+        keys += [
+            F.when(fits, F.xxhash64(F.lit(i), *[F.get(words, start + k) for k in mask]))
+            for i, mask in enumerate(MASKS)
+        ]
+    return places.select("*", F.posexplode(F.array(*keys)).alias("seed", "key")).withColumn(
+        "span", F.when(F.col("seed") == 0, run).otherwise(SPAN)
+    )
 
 
 def _around(words: Column, start: Column) -> Column:
-    """The words of all overlaps that contain a seed at start, null where there are none."""
-    return F.array(*[F.get(words, start + k) for k in range(SPAN - OVERLAP, OVERLAP)])
+    """The words of all overlaps that contain a word at start, null where there are none."""
+    return F.array(*[F.get(words, start + k) for k in range(1 - OVERLAP, OVERLAP)])
 
 
 def _overlaps() -> tuple[Column, Column]:
@@ -68,16 +86,19 @@ def _overlaps() -> tuple[Column, Column]:
     of the item, or all of a shorter one.  No lambda is used, which would keep the join out of
     generated code.
     """
-    first = SPAN - OVERLAP
+    first = 1 - OVERLAP
     equal = reduce(Column.__add__, [
         F.coalesce((F.col("its_words")[k] == F.col("item_words")[k]).cast("int") * (1 << k), F.lit(0))
-        for k in range(2 * OVERLAP - SPAN)
+        for k in range(2 * OVERLAP - 1)
     ])
     enough = F.lit(False)
-    for k in range(OVERLAP - SPAN + 1):
+    for k in range(OVERLAP):
         begin = F.col("item_start") + first + k
         part = F.bit_count(F.col("equal").bitwiseAND(((1 << OVERLAP) - 1) << k))
-        enough |= (begin >= 0) & (begin + OVERLAP <= F.col("n")) & (100 * part >= EQUAL_PERCENT * OVERLAP)
+        enough |= (
+            (begin >= 0) & (begin + OVERLAP <= F.col("n")) & (first + k + OVERLAP >= F.col("span"))
+            & (100 * part >= EQUAL_PERCENT * OVERLAP)
+        )
     short = 100 * F.bit_count("equal") >= EQUAL_PERCENT * F.col("n")
     return equal, F.when(F.col("n") < OVERLAP, short).otherwise(enough)
 
@@ -86,54 +107,70 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BRO
     """doc_id, item_id, hits and first_word for each document that holds a passage of an item.
 
     A passage counts if OVERLAP words in a row of the item (all words of a shorter item) stand in
-    the document with at least EQUAL_PERCENT of them equal, case aside, and the others replaced,
-    and a seed within them is equal.  hits is the number of such seeds, first_word the place of
-    the first.  Null or empty texts hold nothing and are held by nothing, nor are items of fewer
-    than MIN_ITEM words.  Rows with one doc_id count as one document, a null one too, and rows
-    with one item_id as one item; a repeated row adds to hits.  Empty tables give no rows; other
-    columns are left out.
-
-    Seeds of the benchmark are broadcast behind a check of their number, so that the places of
-    the documents, in rows that exist in generated code only, are not shuffled; hits are verified
-    where they arise and counted before the shuffle; a first look at two words spares most places
-    the hashes of all masks.  Beyond that number Spark joins by a shuffle.
+    the document with at least EQUAL_PERCENT of them equal, case aside, and the others replaced;
+    so items of fewer than five words only count whole.  hits is the number of spaced seeds within
+    such passages, first_word the place of the first; without any, of the runs of equal words by
+    which they were found.  Null or empty texts hold nothing and are held by nothing.  Rows with
+    one doc_id count as one document, a null one too, and rows with one item_id as one item; a
+    repeated row adds to hits.  Empty tables give no rows; other columns are left out.
+
+    The run of a passage is as long as its replaced words can leave it at least (see `_run`), so
+    none is missed.  Seeds of the benchmark are broadcast behind a check of their number, so that
+    the places of the documents, in rows that exist in generated code only, are not shuffled; hits
+    are verified where they arise and counted before the shuffle; a first look at two words spares
+    most places the other hashes.  Beyond that number Spark joins by a shuffle.
     """
     items = stage(
         benchmark.select(benchmark["item_id"].alias("item_id"), _hashes(benchmark["text"]).alias("words"))
-        .where(F.size("words") >= MIN_ITEM),
+        .where(F.size("words") > 0),
         "items",
     )
-    # At most SPAN - MIN_ITEM rows.
-    short = items.where(F.size("words") < SPAN).select(F.size("words").alias("n")).distinct()
-    lengths = sorted(row.n for row in short.collect())
-    def described(seeds: DataFrame) -> DataFrame:
-        return seeds.select(
-            "key", "item_id", F.col("start").alias("item_start"), F.size("words").alias("n"),
-            _around(F.col("words"), F.col("start")).alias("item_words"),
-        )
-
-    of_items = described(_seeds(items, []))
-    for length in lengths:
-        exact = items.where(F.size("words") == length).withColumn("start", F.lit(0))
-        of_items = of_items.unionByName(
-            described(exact.withColumn("key", _key(F.col("words"), F.col("start"), -length, range(length))))
-        )
-    of_items, pairs = stage(of_items, "seeds"), None
-    if of_items.count() <= broadcast_seeds:
-        of_items = F.broadcast(of_items)
-        at = SPAN - OVERLAP
-        first_two = F.xxhash64(F.col("item_words")[-at], F.col("item_words")[1 - at])
-        pairs = F.broadcast(of_items.select(first_two.alias("pair")).distinct())
+    # At most OVERLAP rows.
+    sizes = items.select(F.least(F.size("words"), F.lit(OVERLAP)).alias("n")).distinct().collect()
     words = docs.select(docs["doc_id"].alias("doc_id"), _hashes(docs["text"]).alias("words"))
     equal, enough = _overlaps()
-    return (
-        _seeds(words, lengths, pairs)
-        .join(of_items, "key")
-        .select("doc_id", "item_id", "item_start", "item_words", "n", "start", _around(F.col("words"), F.col("start")).alias("its_words"))
-        .select("doc_id", "item_id", "item_start", "n", "start", equal.alias("equal"))
-        .where(enough)
-        .groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("hits"), F.min("start").cast("long").alias("first_word"))
+    found = []
+    for run in sorted({_run(row.n) for row in sizes}):
+        lengths = [n for n in range(1, OVERLAP + 1) if _run(n) == run]
+        alike = items.where(F.least(F.size("words"), F.lit(OVERLAP)).isin(lengths))
+        of_items, pairs = stage(
+            _seeds(alike, run).where("key IS NOT NULL").select(
+                "key", "item_id", F.col("start").alias("item_start"), F.size("words").alias("n"),
+                _around(F.col("words"), F.col("start")).alias("item_words"),
+            ),
+            f"seeds{run}",
+        ), None
+        if of_items.count() <= broadcast_seeds:
+            of_items = F.broadcast(of_items)
+            if run > 1:
+                at = OVERLAP - 1
+                first_two = F.xxhash64(F.col("item_words")[at], F.col("item_words")[at + 1])
+                pairs = F.broadcast(of_items.select(first_two.alias("pair")).distinct())
+        found.append(
+            _seeds(words, run, pairs)
+            .join(of_items, "key")
+            .select(
+                "doc_id", "item_id", "item_start", "item_words", "n", "start", "span",
+                _around(F.col("words"), F.col("start")).alias("its_words"),
+            )
+            .select("doc_id", "item_id", "item_start", "n", "start", "span", equal.alias("equal"))
+            .where(enough)
+            .select("doc_id", "item_id", "start", (F.col("span") == SPAN).alias("spaced"))
+        )
+    if not found:
+        nothing = docs.crossJoin(items.select("item_id")).where("false")
+        return nothing.select(
+            docs["doc_id"].alias("doc_id"), "item_id", F.lit(0).cast("long").alias("hits"),
+            F.lit(0).cast("long").alias("first_word"),
+        )
+
+    def first(spaced: bool) -> Column:
+        return F.min(F.when(F.col("spaced") == spaced, F.col("start")))
+
+    spaced = F.count_if("spaced")
+    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(
+        F.when(spaced > 0, spaced).otherwise(F.count("*")).alias("hits"),
+        F.coalesce(first(True), first(False)).cast("long").alias("first_word"),
     )
 
 
