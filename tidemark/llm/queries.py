@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
     byte_bpe, decontamination, language_id, line_dedup, ngram_jaccard, quality_classifier, quality_rules,
-    sharding, suffix_dedup, token_alignment, url_filters,
+    sharding, structure_repair, suffix_dedup, token_alignment, url_filters,
 )
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -73,6 +73,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.link_documents(table(spark, sf_dir, "documents")).drop("tag")
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = structure_repair.damage(table(spark, sf_dir, "conversations"))
+    return structure_repair.summarise(structure_repair.repair(damaged))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
 
@@ -82,7 +87,7 @@ QUERIES = {
     for f in (
         op1_quality_rules, op2_line_dedup, op3_quality_classifier, op4_url_filters, op5_language_id,
         op6_byte_bpe, op7_sharding, op8_decontamination, op9_suffix_dedup, op10_ngram_jaccard,
-        op13_token_alignment,
+        op12_structure_repair, op13_token_alignment,
     )
 }
 
