@@ -18,6 +18,13 @@ BETWEEN_WORDS = r"[\x20\x09-\x0D]+"
 _staged: list[str] = []
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has used; `release` deletes it."""
+    path = f"{shared_folder(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}/{name}"
+    _staged.append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """df, computed once: written as Parquet to the shared folder and read again.
 
@@ -26,9 +33,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     makes Spark delete it now rather than some time later.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}/{name}"
+    path = new_path(spark, name)
     df.write.parquet(path)
-    _staged.append(path)
     gc.collect()
     spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

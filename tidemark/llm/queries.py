@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
     byte_bpe, decontamination, language_id, line_dedup, ngram_jaccard, quality_classifier, quality_rules,
-    sharding, structure_repair, suffix_dedup, token_alignment, url_filters,
+    sharding, structure_repair, suffix_dedup, token_alignment, url_filters, warc,
 )
+from tidemark.llm.common import new_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -73,6 +74,14 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.link_documents(table(spark, sf_dir, "documents")).drop("tag")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = structure_repair.damage(table(spark, sf_dir, "conversations"))
     return structure_repair.summarise(structure_repair.repair(damaged))
@@ -87,7 +96,7 @@ QUERIES = {
     for f in (
         op1_quality_rules, op2_line_dedup, op3_quality_classifier, op4_url_filters, op5_language_id,
         op6_byte_bpe, op7_sharding, op8_decontamination, op9_suffix_dedup, op10_ngram_jaccard,
-        op12_structure_repair, op13_token_alignment,
+        op11_warc, op12_structure_repair, op13_token_alignment,
     )
 }
 
@@ -96,4 +105,5 @@ ORACLE = {
     "op2_line_dedup": line_dedup.oracle_sql(),
     "op4_url_filters": url_filters.oracle_sql(),
     "op8_decontamination": decontamination.oracle_sql(),
+    "op11_warc": warc.oracle_sql(),
 }
