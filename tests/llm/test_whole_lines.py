@@ -1,6 +1,8 @@
-"""Line dedup without limits by words, against brute force."""
+"""Line dedup against brute force."""
 
+import random
 import re
+import time
 from collections import defaultdict
 
 import corpus_pipeline
@@ -14,12 +16,12 @@ def lines_of(text):
     return [tuple(w for w in re.split(r"[\x20\x09-\x0D]+", line.lower()) if w) for line in (text or "").split("\n")]
 
 
-def brute_force(rows, min_words, min_edited):
+def brute_force(rows, min_edited=line_dedup.MIN_EDITED):
     """(doc_id, line_no, first_doc_id, first_line_no, edits) of each repeated line."""
     places = defaultdict(list)
     for doc_id, text in sorted(rows):
         for line_no, words in enumerate(lines_of(text)):
-            if len(words) >= min_words:
+            if words:
                 places[words].append((doc_id, line_no))
     holes, gaps = defaultdict(list), defaultdict(list)
     edited = [words for words in places if len(words) >= min_edited]
@@ -39,17 +41,46 @@ def brute_force(rows, min_words, min_edited):
     return found
 
 
-def found_in(docs, **limits):
+def found_in(docs):
     columns = ["doc_id", "line_no", "first_doc_id", "first_line_no", "edits"]
-    return {tuple(r) for r in line_dedup.repeated_lines(docs, **limits).select(*columns).collect()}
+    return {tuple(r) for r in line_dedup.repeated_lines(docs).select(*columns).collect()}
 
 
 def test_every_line_as_brute_force(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    for limits in (line_dedup.EVERY_LINE, {"min_words": 3, "min_edited": 8}):
-        expected = brute_force(rows, **limits)
-        assert expected and found_in(docs, **limits) == expected
+    expected = brute_force(rows)
+    assert expected and found_in(docs) == expected
+
+
+def test_random_lines_with_few_words(spark):
+    rng = random.Random(5)
+    rows = [
+        (i, "\n".join(" ".join(rng.choices("abcd", k=rng.choice([0, 1, 2, 3, 3, 4, 5, 7, 9]))) for _ in range(8)))
+        for i in range(60)
+    ]
+    docs = documents(spark, rows).selectExpr("*", "1 AS tag", "2 AS k1", "3 AS ord", "4 AS place", "5 AS kind", "6 AS n")
+    assert found_in(docs) == brute_force(rows)
+
+
+def test_null_texts_and_repeated_rows(spark):
+    rows = [(1, None), (2, ""), (2, ""), (None, "one two three"), (3, "one two three four"), (4, "x\nx"), (4, "x\nx"), (5, " \t\n")]
+    found = line_dedup.repeated_lines(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.line_no, r.first_doc_id, r.first_line_no, r.edits) for r in found) == [
+        (3, 0, None, 0, 1), (4, 1, 4, 0, 0), (4, 1, 4, 0, 0),
+    ]
+    assert line_dedup.repeated_lines(documents(spark, rows).where("false")).count() == 0
+    assert line_dedup.drop_repeated_lines(documents(spark, rows)).where("text IS NULL").count() == 1
+
+
+def test_long_near_lines(spark):
+    words = [f"w{i * i % 9973}" for i in range(40_000)]
+    other, shorter = list(words), words[:30_000] + words[30_001:]
+    other[12_345] = "changed"
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(shorter)), (4, " ".join(reversed(words)))]
+    start = time.monotonic()
+    assert found_in(documents(spark, rows)) == {(2, 0, 1, 0, 1), (3, 0, 1, 0, 1)}
+    assert time.monotonic() - start < 60
 
 
 def test_pipeline_removes_short_repeats(spark):
@@ -60,4 +91,4 @@ def test_pipeline_removes_short_repeats(spark):
     docs = documents(spark, rows)
     left = {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, docs, SF_DIR).collect()}
     assert left == {1: rows[0][1], 2: "own text", 5: "three words only"}
-    assert found_in(docs, **line_dedup.EVERY_LINE) == brute_force(rows, **line_dedup.EVERY_LINE)
+    assert found_in(docs) == brute_force(rows)

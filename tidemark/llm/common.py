@@ -48,14 +48,17 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Rows of a side that is broadcast whatever Spark estimates; with more it chooses by itself.
-BROADCAST_ROWS = 200_000
+#: Rows, and bytes of their files, of a side that is broadcast whatever Spark estimates; with more of
+#: either it chooses by itself.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 1 << 25
 
 
 def small(df: DataFrame) -> DataFrame:
-    """df, staged, to be broadcast if it has at most BROADCAST_ROWS (narrow) rows."""
+    """df, staged, to be broadcast if it has at most BROADCAST_ROWS rows in BROADCAST_BYTES."""
     df = stage(df, "small")
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_staged[-1])
+    size = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS else df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -4,29 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import let, small, stage, words_of
-
-#: The limits that the SQL of the registered query has: a shorter line is never a repeat, in words,
-MIN_WORDS = 3
-#: and a line of fewer words repeats only an equal one; others also those one word away.
-MIN_EDITED = 8
-#: No limits: each line with a word can repeat an equal one.  One word away means something from
-#: three words on, of which two are then equal.
-EVERY_LINE = {"min_words": 1, "min_edited": 3}
+from tidemark.llm.common import BETWEEN_WORDS, let, small, stage
+
+#: Words from which a line can be an edited repeat: of these, two are then equal.
+MIN_EDITED = 3
 #: Sums of hashes are kept to this many bits, so that they cannot overflow.
 _BITS = (1 << 60) - 1
-#: Words whose sums are built at a time; see `_prefix_sums`.
-_BLOCK = 64
+#: What a variant is a key of: the whole line, the line closed up without a word, or with a place left open.
+_WHOLE, _GAP, _HOLE = 0, 1, 2
+
+
+def _words(line: Column) -> Column:
+    return F.array_remove(F.split(F.lower(line), BETWEEN_WORDS), "")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, tag (a hash of the text), line_no and words of each line that has words enough."""
+    """doc_id, tag (a hash of the text), line_no and words of each line with a word."""
     return (
         docs.select(
             docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"),
             F.posexplode(F.split(docs["text"], "\n")).alias("line_no", "line"),
         )
-        .select("doc_id", "tag", "line_no", words_of(F.lower("line")).alias("words"))
+        # A test of the line, not of its words, which would be split twice.
+        .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+        .select("doc_id", "tag", "line_no", _words(F.col("line")).alias("words"))
     )
 
 
@@ -55,70 +56,78 @@ def _running(values: Column) -> Column:
     return F.aggregate(values, zero, lambda sums, x: F.concat(sums, F.array(_plus(F.element_at(sums, -1), x))))
 
 
-def _prefix_sums(values: Column, body) -> Column:
-    """body(function), where function(i) is the sum of the values before place i.
+def _prefix_sums(values: Column) -> Column:
+    """The sums of the values before each place, and of all.
 
-    Sums are built within blocks and over the blocks, so a very long line takes little more than
-    its length.
+    Sums are built within blocks and over the blocks.  These are as long as costs least, so a very
+    long line takes little more than its length.
     """
 
-    def within(blocks: Column) -> Column:
+    def of_blocks(blocks: Column) -> Column:
         offsets = _running(F.transform(blocks, lambda sums: F.element_at(sums, -1)))
-        return let(offsets, lambda o: body(
-            lambda i: _plus(o[F.floor(i / _BLOCK).cast("int")], blocks[F.floor(i / _BLOCK).cast("int")][i % _BLOCK])
+        return let(offsets, lambda o: F.concat(
+            F.flatten(F.transform(blocks, lambda sums, b: F.transform(
+                F.slice(sums, F.lit(1), F.size(sums) - 1), lambda x: _plus(x, o[b])
+            ))),
+            F.array(F.element_at(o, -1)),
         ))
 
-    starts = F.sequence(F.lit(1), F.size(values), F.lit(_BLOCK))
-    return let(F.transform(starts, lambda at: _running(F.slice(values, at, _BLOCK))), within)
+    def of_values(v: Column) -> Column:
+        block = F.ceil(F.cbrt(2 * F.size(v))).cast("int")
+        return let(block, lambda n: let(
+            F.transform(F.sequence(F.lit(1), F.size(v), n), lambda at: _running(F.slice(v, at, n))), of_blocks
+        ))
+
+    return let(values, of_values)
 
 
 def _at(word: Column, place: Column) -> Column:
     return F.xxhash64(word, place).bitwiseAND(_BITS)
 
 
-def _variants(words: Column) -> Column:
-    """The line itself and the line without each of its words, as (kind, key) pairs.
+def _variants(candidates: DataFrame) -> DataFrame:
+    """ord, kind and key of the line itself and of the line without each of its words.
 
     A key is a hash of a sequence of words with their places.  `whole` is the line; `gap` the
     line without a word, closed up, which is equal to the whole of a line that lacks it; `hole`
-    the line with one place left open, equal to that of a line with another word there.
+    the line with one place left open, equal to that of a line with another word there.  Two lines
+    that differ at a place share the half key of the other half, so variants are built only where
+    `shared` (a bit for each half key) says that another line has that half.
     """
+    # The sums of all places are built once; the keys are then plain arithmetic for each place.
+    here = F.transform("words", lambda x, i: _at(x, i))
+    # What a word adds if it moves up by one.
+    moved = F.transform("words", lambda x, i: _at(x, i - 1))
+    lines = candidates.select(
+        "ord", "shared", F.size("words").alias("n"), here.alias("here"),
+        _prefix_sums(here).alias("before"), _prefix_sums(moved).alias("after"),
+    )
+    n, i = F.col("n"), F.col("i")
+    total = F.col("before")[n]
+    whole = lines.where(F.col("shared").bitwiseAND(3) != 0).select(
+        "ord", F.lit(_WHOLE).alias("kind"), F.xxhash64(F.lit(0), n, total).alias("key")
+    )
 
-    def keyed(kind: str, *parts: Column) -> Column:
-        family = F.lit(1 if kind == "hole" else 0)
-        return F.struct(F.lit(kind).alias("kind"), F.xxhash64(family, *parts).alias("key"))
-
-    def of(w: Column) -> Column:
-        n = F.size(w)
-        places = F.sequence(F.lit(0), n - 1)
-        here = F.transform(w, lambda x, i: _at(x, i))
-        # What a word adds if it moves up by one.
-        moved = F.transform(w, lambda x, i: _at(x, i - 1))
-
-        def all_keys(before: Column, after: Column, h: Column, m: Column) -> Column:
-            total = F.aggregate(h, F.lit(0).cast("bigint"), _plus)
-            return let(total, lambda t: F.concat(
-                F.array(keyed("whole", n, t)),
-                F.transform(places, lambda i: keyed("hole", n, i, _plus(t, F.lit(_BITS + 1) - h[i]))),
-                F.transform(places, lambda i: keyed("gap", n - 1, _plus(before(i), _plus(
-                    after(n - 1), _plus(F.lit(_BITS + 1) - after(i), m[n - 1] - m[i] + _BITS + 1)
-                )))),
-            ))
-
-        return let(here, lambda h: let(moved, lambda m: _prefix_sums(h, lambda before: _prefix_sums(
-            m, lambda after: all_keys(before, after, h, m)
-        ))))
+    def other_half(length: Column, first_bit: int) -> Column:
+        """Whether another line has the half of a line of that length in which place i is not."""
+        in_second = i >= F.floor(length / 2).cast("int")
+        return F.when(in_second, F.col("shared").bitwiseAND(first_bit)).otherwise(F.col("shared").bitwiseAND(2 * first_bit)) != 0
 
-    return let(words, of)
+    hole = F.xxhash64(F.lit(1), n, i, _plus(total, F.lit(_BITS + 1) - F.col("here")[i]))
+    # What stands before the place, and what moves up: all after it.
+    gap = F.xxhash64(F.lit(0), n - 1, _plus(F.col("before")[i], _plus(F.col("after")[n], F.lit(_BITS + 1) - F.col("after")[i + 1])))
+    places = lines.withColumn("i", F.explode(F.sequence(F.lit(0), n - 1)))
+    keys = F.array(F.when(other_half(n - 1, 4), gap), F.when(other_half(n, 1), hole))
+    edited = places.select("ord", F.posexplode(keys).alias("kind", "key")).where("key IS NOT NULL")
+    return whole.unionByName(edited.withColumn("kind", F.col("kind") + _GAP))
 
 
 def _one_apart(a: Column, b: Column) -> Column:
-    """Whether one edit of a word, at most, makes a of b."""
+    """Whether one edit of a word, at most, makes a of b; in time that grows with their length."""
 
     def common(x: Column, y: Column) -> Column:
-        least = F.least(F.size(x), F.size(y))
-        differs = F.array_position(F.transform(F.sequence(F.lit(0), least - 1), lambda i: x[i] == y[i]), False)
-        return F.when(differs > 0, differs.cast("int") - 1).otherwise(least)
+        differs = F.array_position(F.zip_with(x, y, lambda p, q: p.eqNullSafe(q)), False).cast("int")
+        return F.when(differs > 0, differs - 1).otherwise(F.size(x))
 
     longer = F.greatest(F.size(a), F.size(b))
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (
@@ -126,31 +135,31 @@ def _one_apart(a: Column, b: Column) -> Column:
     )
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_edited: int = MIN_EDITED) -> DataFrame:
+def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, first_doc_id, first_line_no, edits of each line that repeats an earlier one.
 
     Lines are split at \\n and compared by their lower-cased words.  Earlier is a line of a smaller
-    doc_id, or of the same document with a smaller line_no (from 0).  A line of min_words or more
-    repeats an earlier one of equal words; one of min_edited or more also an earlier one, as long,
+    doc_id, or of the same document with a smaller line_no (from 0).  A line with a word repeats
+    an earlier one of equal words; one of MIN_EDITED words or more also an earlier one, as long,
     from which one word differs, is missing or is added.  first_... is the earliest of these, and
     edits is 0 if it is equal, else 1.  A line counts as repeated also where the earlier one is
-    itself a repeat.  Lines with fewer words, and always those without a word, are never repeats.  A null text
-    has no lines; a null doc_id is before all others.  Rows of one doc_id are ordered by a hash of
-    their text, and lines of rows equal in both are at one place, so none repeats the other.  An
-    empty table gives no rows; other columns of docs are left out.
+    itself a repeat.  Lines without a word are never repeats.  A null text has no lines; a null
+    doc_id is before all others.  Rows of one doc_id are ordered by a hash of their text, and lines
+    of rows equal in both are at one place, so none repeats the other.  An empty table gives no
+    rows; other columns of docs are left out.
 
     Equal lines are one class first.  Every class emits its four half keys; those that share one
-    with another class, of which there are few, emit all their variants, which are joined as
-    equal keys: of each key only the earliest line is handed back, so that a group of many
+    with another class, of which there are few, emit their variants on that side, which are joined
+    as equal keys: of each key only the earliest line is handed back, so that a group of many
     similar lines makes no pairs.  The earliest partner's words are then compared.  Keys are
     64-bit hashes, of lines 128 bits.
     """
     place = F.struct("doc_id", "tag", "line_no")
     lines = stage(
-        _lines(docs).where(F.size("words") >= max(1, min_words)).select(
+        _lines(docs).select(
             place.alias("place"),
             F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"),
-            F.when(F.size("words") >= max(2, min_edited), _half_keys(F.col("words"))).alias("halves"),
+            F.when(F.size("words") >= MIN_EDITED, _half_keys(F.col("words"))).alias("halves"),
         ),
         "lines",
     )
@@ -160,49 +169,58 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_edited: int
         ),
         "classes",
     )
-    halves = classes.select("k1", F.explode("halves").alias("half"))
+    halves = classes.select("k1", F.posexplode("halves").alias("bit", "half"))
     shared = halves.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
-    chosen = halves.join(shared.select("half"), "half").select("k1").distinct()
+    chosen = halves.join(shared.select("half"), "half").groupBy("k1").agg(
+        F.bit_or(F.expr("shiftleft(1, bit)")).alias("shared")
+    )
     wanted = small(
-        classes.join(chosen, "k1").groupBy(F.col("first.doc_id").alias("id"), F.col("first.tag").alias("its_tag"))
-        .agg(F.collect_set("first.line_no").alias("numbers"))
+        classes.select("k1", "k2", "first").join(chosen, "k1")
+        .groupBy(F.col("first.doc_id").alias("id"), F.col("first.tag").alias("its_tag"))
+        .agg(F.collect_list(F.struct("k1", "k2", "first.line_no", "shared")).alias("its_lines"))
     )
     text = docs.select(docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"), docs["text"].alias("text"))
+    picked = let(F.split("text", "\n"), lambda all_lines: F.transform("its_lines", lambda one: F.struct(
+        one["k1"].alias("k1"), one["k2"].alias("k2"), one["line_no"].alias("line_no"), one["shared"].alias("shared"),
+        all_lines[one["line_no"]].alias("line"),
+    )))
+    # One row a class, in the order of their places: ord grows with them.
     candidates = stage(
         text.join(wanted, text["doc_id"].eqNullSafe(F.col("id")) & (F.col("tag") == F.col("its_tag")))
-        .select("doc_id", "tag", F.split("text", "\n").alias("all"), F.explode("numbers").alias("line_no"))
-        .select(place.alias("first"), F.transform(
-            words_of(F.lower(F.col("all")[F.col("line_no")])), lambda word: F.xxhash64(word)
-        ).alias("words"))
-        .dropDuplicates(["first"]),
+        .select("doc_id", "tag", F.explode(picked).alias("one")).select("doc_id", "tag", "one.*")
+        .dropDuplicates(["k1", "k2"])
+        .select("k1", "k2", "shared", place.alias("first"), F.transform(_words(F.col("line")), lambda word: F.xxhash64(word)).alias("words"))
+        .repartitionByRange("first").sortWithinPartitions("first")
+        .withColumn("ord", F.monotonically_increasing_id()),
         "candidates",
     )
-    variants = candidates.select("first", F.explode(_variants(F.col("words"))).alias("v")).select("first", "v.*")
-    met = variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    variants = stage(variants.join(met.select("key"), "key"), "variants")
-    earliest = variants.groupBy("key").agg(*[
-        F.min(F.when(F.col("kind") == kind, F.col("first"))).alias(f"{kind}_first") for kind in ("whole", "gap", "hole")
-    ])
+    variants = stage(_variants(candidates), "variants")
+    earliest = small(
+        variants.groupBy("key").agg(
+            F.count("*").alias("n"),
+            *[F.min(F.when(F.col("kind") == kind, F.col("ord"))).alias(f"first{kind}") for kind in (_WHOLE, _GAP, _HOLE)],
+        ).where("n > 1").drop("n")
+    )
     partner = (
-        F.when(F.col("kind") == "whole", F.col("gap_first"))
-        .when(F.col("kind") == "gap", F.col("whole_first"))
-        .otherwise(F.col("hole_first"))
+        F.when(F.col("kind") == _WHOLE, F.col(f"first{_GAP}"))
+        .when(F.col("kind") == _GAP, F.col(f"first{_WHOLE}"))
+        .otherwise(F.col(f"first{_HOLE}"))
     )
     met = stage(
-        variants.join(earliest, "key").select("first", partner.alias("partner")).where("partner < first")
-        .groupBy("first").agg(F.min("partner").alias("partner")),
+        variants.join(earliest, "key").select("ord", partner.alias("partner")).where("partner < ord")
+        .groupBy("ord").agg(F.min("partner").alias("partner")),
         "met",
     )
+    earlier = candidates.select(F.col("ord").alias("partner"), F.col("first").alias("source"), F.col("words").alias("its_words"))
     near = (
-        met.join(candidates, "first")
-        .join(candidates.select(F.col("first").alias("partner"), F.col("words").alias("its_words")), "partner")
+        met.join(candidates, "ord").join(earlier, "partner")
         .where(_one_apart(F.col("words"), F.col("its_words")))
-        .select("first", "partner")
+        .select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), F.col("first").alias("own"), "source")
     )
-    again = (
-        classes.select("k1", "k2", "first", "last").join(near, "first", "left")
-        .where("partner IS NOT NULL OR first < last")
-        .select("k1", "k2", "first", F.coalesce("partner", "first").alias("source"))
+    equal = classes.where("first < last").select("k1", "k2", "first")
+    again = equal.join(near, (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2")), "full").select(
+        F.coalesce("k1", "n1").alias("k1"), F.coalesce("k2", "n2").alias("k2"),
+        F.coalesce("first", "own").alias("first"), F.coalesce("source", "first").alias("source"),
     )
     return (
         lines.select("k1", "k2", "place").join(again, ["k1", "k2"]).where("source < place")
@@ -216,13 +234,13 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_edited: int
     )
 
 
-def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_edited: int = MIN_EDITED) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """docs without its `repeated_lines`; the columns stay, n_chars (if any) follows the text.
 
     A document that had words and has none left is left out: all that it says is in earlier
     ones.  A document without words, or without repeated lines, stays as it is.
     """
-    repeated = repeated_lines(docs, min_words, min_edited).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(
+    repeated = repeated_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(
         F.collect_set(F.col("line_no").cast("int")).alias("_gone")
     )
     rest = let(F.split(docs["text"], "\n"), lambda lines: F.array_join(F.transform(
@@ -246,7 +264,7 @@ def oracle_sql() -> str:
         "WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),"
         " l0 AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM s),"
         " l AS (SELECT doc_id, line_no, regexp_extract_all(lower(line), '[^\\x20\\x09-\\x0D]+') AS w FROM l0),"
-        f" k AS (SELECT doc_id, line_no, w, (doc_id * 1000000 + line_no) AS place FROM l WHERE len(w) >= {MIN_WORDS}),"
+        f" k AS (SELECT doc_id, line_no, w, (doc_id * 1000000 + line_no) AS place FROM l WHERE len(w) >= 1),"
         " c AS (SELECT w, min(place) AS first FROM k GROUP BY w),"
         f" p AS (SELECT w, first, unnest(range(len(w))) AS i FROM c WHERE len(w) >= {MIN_EDITED}),"
         " v AS (SELECT first, i, array_to_string(w[1:i], ' ') || ' ' || array_to_string(w[i + 2:], ' ') AS gap,"
