@@ -1,17 +1,19 @@
 """The alignment of two tokenizers against a plain recomputation."""
 
 import hashlib
+import random
 from collections import Counter
 from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
 import pytest
+import tokenizers
 
 from tests.llm.helpers import documents
 from tidemark.llm import token_alignment
 
-FILES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+FILES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
 SF_DIR = "/root/testdata/sf0.001"
 ODD = [
     (1, None), (2, ""), (3, " \n\t"), (4, "word " * 30_000), (5, "a b c\nA  b c"), (5, "a b c\nA  b c"),
@@ -22,12 +24,13 @@ ODD = [
 
 def plainly(rows):
     """The rows of `align` for (doc_id, text) rows, link by link."""
-    both = token_alignment.both(*FILES)
+    both, a_tokenizer = token_alignment.both(*FILES), tokenizers.Tokenizer.from_file(FILES[0])
+    a_tokenizer.encode_special_tokens = True
     found, counts = [], Counter()
     for doc_id, text in rows:
         links, groups, a, b = [], [], [], []
         if text:
-            a, b = both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text)
+            a, b = a_tokenizer.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text)
             of_a, of_b = [both.a_bytes[i] for i in a], [both.b_bytes[i] for i in b]
             if not b"".join(of_a) == b"".join(of_b) == b" " + text.encode():
                 a, b = [], []
@@ -69,6 +72,9 @@ def test_odd_documents(spark):
     assert found == sorted(plainly(ODD), key=repr)
     assert [r[1:] for r in found if r[0] in (1, 2)] == [(0, 0, 0, 0, 0, 0, "")] * 2
     assert any(r[0] == 6 and r[1] > 0 for r in found)
+    rng, signs = random.Random(2), [*"ab zéß中🙂.,!?'\n\t \u2003\u180e\x85\x1c\ufeff<>|1٣½  ", "<s>", "<|endoftext|>", " don't", "'s"]
+    mixed = [(i, "".join(rng.choices(signs, k=rng.randint(1, 60)))) for i in range(1000)]
+    assert rows_of(token_alignment.align(documents(spark, mixed), *FILES)) == sorted(plainly(mixed), key=repr)
     none = token_alignment.align(docs.where("false"), *FILES)
     assert none.count() == 0 and none.columns[0] == "doc_id"
 

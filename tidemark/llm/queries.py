@@ -88,7 +88,7 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+    return token_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES, public_tokenizers.PATTERN)
 
 
 QUERIES = {
