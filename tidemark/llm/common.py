@@ -53,12 +53,17 @@ def release(spark: SparkSession) -> None:
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 1 << 25
 
 
+def fits_broadcast(staged: DataFrame) -> bool:
+    """Whether what `stage` has written last may be broadcast."""
+    path = staged.sparkSession._jvm.org.apache.hadoop.fs.Path(_staged[-1])
+    size = path.getFileSystem(staged.sparkSession._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return size <= BROADCAST_BYTES and staged.count() <= BROADCAST_ROWS
+
+
 def small(df: DataFrame) -> DataFrame:
     """df, staged, to be broadcast if it has at most BROADCAST_ROWS rows in BROADCAST_BYTES."""
     df = stage(df, "small")
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_staged[-1])
-    size = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-    return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

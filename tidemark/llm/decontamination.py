@@ -1,22 +1,34 @@
-"""Documents that hold passages of a benchmark, found by runs of equal words."""
+"""Documents that hold passages of a benchmark, found by spaced seeds."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import stage, words_of
+from tidemark.llm.common import fits_broadcast, small, stage, words_of
 
-#: Word positions that a spaced seed compares; it ignores the others.  All compare the first two.
-#: They count the hits, as the SQL does; what is found does not hang on them.
-MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 8), (0, 1, 4, 6, 7, 8))
-SPAN = 9
 #: Words of an overlap, and how many of them must be equal at the same place.
 OVERLAP, EQUAL_PERCENT = 13, 80
-#: Seeds of the benchmark that are broadcast; more are joined by a shuffle.
-BROADCAST_SEEDS = 1_000_000
+#: For overlaps of so many words the masks: the places that a seed compares; it ignores the others.
+#: However the allowed words are replaced, some place of some mask leaves them all out, so every
+#: overlap holds an equal seed (the tests try all replacements).  An item of fewer words than
+#: OVERLAP is one overlap; of four words or fewer none may be replaced.
+MASKS = {
+    13: ((0, 1, 2, 3, 4, 6), (0, 1, 3, 8, 9, 10)),
+    12: ((0, 1, 2, 3, 5), (0, 1, 4, 5, 6)),
+    11: ((0, 1, 2, 3, 5), (0, 1, 4, 7, 8)),
+    10: ((0, 1, 2, 4), (0, 1, 4, 5)),
+    9: ((0, 1, 2, 4, 5),),
+    8: ((0, 1, 2, 4),),
+    7: ((0, 1, 3, 4),),
+    6: ((0, 1, 3),),
+    5: ((0, 2),),
+    4: ((0, 1, 2, 3),),
+    3: ((0, 1, 2),),
+    2: ((0, 1),),
+    1: ((0,),),
+}
 
 
 def _hashes(text: Column) -> Column:
@@ -24,191 +36,160 @@ def _hashes(text: Column) -> Column:
     return F.transform(words_of(F.lower(text)), lambda word: F.xxhash64(word))
 
 
-def _key(hashes: Column, start: Column, mask: int, positions: Iterable[int]) -> Column:
-    return F.xxhash64(F.lit(mask), *[hashes[start + k] for k in positions])
+def _overlap(words: Column) -> Column:
+    """Words of an overlap of an item."""
+    return F.least(F.size(words), F.lit(OVERLAP))
 
 
-def _pair(words: Column, start: Column) -> Column:
-    return F.xxhash64(words[start], words[start + 1])
-
-
-def _run(n: int) -> int:
-    """Equal words in a row that each passage of an item of n words has at least.
-
-    Of the words of an overlap some may be replaced; the others lie in at most one run more than
-    these, and the longest of the runs is no shorter than their mean.
-    """
-    overlap = min(n, OVERLAP)
-    equal = -(-overlap * EQUAL_PERCENT // 100)
-    return -(-equal // (overlap - equal + 1))
-
+def _keys(lengths: list[int], words: Column, start: Column) -> Column:
+    """The keys of the seeds at a place, null beyond the end; each mask has keys of its own."""
+    return F.array(*[
+        F.when(
+            start + mask[-1] < F.size(words),
+            F.xxhash64(F.lit(f"{length}.{i}"), *[F.get(words, start + k) for k in mask]),
+        )
+        for length in lengths for i, mask in enumerate(MASKS[length])
+    ])
 
-#: The run of a long item; some shorter ones have shorter runs.
-RUN = _run(OVERLAP)
 
+def _first_two(words: Column, start: Column) -> Column:
+    return F.xxhash64(words[start], F.get(words, start + 1))
 
-def _seeds(rows: DataFrame, run: int, pairs: DataFrame | None = None) -> DataFrame:
-    """rows with their words, as key, span and start for each seed of each place.
 
-    A seed is a run of so many words or, besides those of RUN words, a spaced one.  With pairs,
-    only places whose first two words are among them give seeds.
-    """
+def _places(rows: DataFrame) -> DataFrame:
+    """rows with start, each place of their words."""
     # Not a filter, which the optimiser would move below the words and so compute them twice.
-    last = F.size("words") - run
+    last = F.size("words") - 1
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    places = rows.withColumn("start", F.explode(starts))
-    words, start = F.col("words"), F.col("start")
-    if pairs is not None:
-        places = places.join(pairs, _pair(words, start) == pairs["pair"], "left_semi")
-    # Apart from the numbers of the masks.
-    keys = [_key(words, start, -run, range(run))]
-    if run == RUN:
-        fits = start + SPAN <= F.size("words")
-        # Null beyond the end, which joins nothing.
-        keys += [
-            F.when(fits, F.xxhash64(F.lit(i), *[F.get(words, start + k) for k in mask]))
-            for i, mask in enumerate(MASKS)
-        ]
-    return places.select("*", F.posexplode(F.array(*keys)).alias("seed", "key")).withColumn(
-        "span", F.when(F.col("seed") == 0, run).otherwise(SPAN)
-    )
-
-
-def _around(words: Column, start: Column) -> Column:
-    """The words of all overlaps that contain a word at start, null where there are none."""
-    return F.array(*[F.get(words, start + k) for k in range(1 - OVERLAP, OVERLAP)])
+    return rows.withColumn("start", F.explode(starts))
 
 
-def _overlaps() -> tuple[Column, Column]:
-    """The equal words around a hit as bits, and whether some overlap that contains the seed of a hit is equal enough.
-
-    The words are compared at the places that the hit gives them; an overlap has OVERLAP words
-    of the item, or all of a shorter one.  No lambda is used, which would keep the join out of
-    generated code.
-    """
-    first = 1 - OVERLAP
-    equal = reduce(Column.__add__, [
-        F.coalesce((F.col("its_words")[k] == F.col("item_words")[k]).cast("int") * (1 << k), F.lit(0))
-        for k in range(2 * OVERLAP - 1)
-    ])
-    enough = F.lit(False)
-    for k in range(OVERLAP):
-        begin = F.col("item_start") + first + k
-        part = F.bit_count(F.col("equal").bitwiseAND(((1 << OVERLAP) - 1) << k))
-        enough |= (
-            (begin >= 0) & (begin + OVERLAP <= F.col("n")) & (first + k + OVERLAP >= F.col("span"))
-            & (100 * part >= EQUAL_PERCENT * OVERLAP)
-        )
-    short = 100 * F.bit_count("equal") >= EQUAL_PERCENT * F.col("n")
-    return equal, F.when(F.col("n") < OVERLAP, short).otherwise(enough)
-
-
-def find_leaks(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, hits and first_word for each document that holds a passage of an item.
 
     A passage counts if OVERLAP words in a row of the item (all words of a shorter item) stand in
     the document with at least EQUAL_PERCENT of them equal, case aside, and the others replaced;
-    so items of fewer than five words only count whole.  hits is the number of spaced seeds within
-    such passages, first_word the place of the first; without any, of the runs of equal words by
-    which they were found.  Null or empty texts hold nothing and are held by nothing.  Rows with
-    one doc_id count as one document, a null one too, and rows with one item_id as one item; a
-    repeated row adds to hits.  Empty tables give no rows; other columns are left out.
-
-    The run of a passage is as long as its replaced words can leave it at least (see `_run`), so
-    none is missed.  Seeds of the benchmark are broadcast behind a check of their number, so that
-    the places of the documents, in rows that exist in generated code only, are not shuffled; hits
-    are verified where they arise and counted before the shuffle; a first look at two words spares
-    most places the other hashes.  Beyond that number Spark joins by a shuffle.
+    so items of fewer than five words count unchanged only.  hits is the number of equal seeds within
+    such passages, first_word the place of the first.  Null or empty texts hold nothing and are
+    held by nothing.  Rows with one doc_id count as one document, a null one too, and rows with
+    one item_id as one item; a repeated row adds to hits.  Empty tables give no rows; other
+    columns are left out.
+
+    The masks of a passage's length miss none (see MASKS).  Seeds of the benchmark carry their
+    item and place only and are broadcast behind a check of their size (see `small`), so that the
+    places of the documents, rows that exist in generated code only, are not shuffled; a first
+    look at two words spares most places the other hashes.  Hits, which are few, take the words
+    around them along, and are then compared with the words of their item and counted before the
+    shuffle.  Beyond that size Spark joins the places, without any words, by a shuffle, and the
+    words around the hits are then taken from the documents that have some.
     """
     items = stage(
         benchmark.select(benchmark["item_id"].alias("item_id"), _hashes(benchmark["text"]).alias("words"))
-        .where(F.size("words") > 0),
+        .where(F.size("words") > 0).withColumn("item", F.monotonically_increasing_id()),
         "items",
     )
     # At most OVERLAP rows.
-    sizes = items.select(F.least(F.size("words"), F.lit(OVERLAP)).alias("n")).distinct().collect()
-    words = docs.select(docs["doc_id"].alias("doc_id"), _hashes(docs["text"]).alias("words"))
-    equal, enough = _overlaps()
-    found = []
-    for run in sorted({_run(row.n) for row in sizes}):
-        lengths = [n for n in range(1, OVERLAP + 1) if _run(n) == run]
-        alike = items.where(F.least(F.size("words"), F.lit(OVERLAP)).isin(lengths))
-        of_items, pairs = stage(
-            _seeds(alike, run).where("key IS NOT NULL").select(
-                "key", "item_id", F.col("start").alias("item_start"), F.size("words").alias("n"),
-                _around(F.col("words"), F.col("start")).alias("item_words"),
-            ),
-            f"seeds{run}",
-        ), None
-        if of_items.count() <= broadcast_seeds:
-            of_items = F.broadcast(of_items)
-            if run > 1:
-                at = OVERLAP - 1
-                first_two = F.xxhash64(F.col("item_words")[at], F.col("item_words")[at + 1])
-                pairs = F.broadcast(of_items.select(first_two.alias("pair")).distinct())
-        found.append(
-            _seeds(words, run, pairs)
-            .join(of_items, "key")
-            .select(
-                "doc_id", "item_id", "item_start", "item_words", "n", "start", "span",
-                _around(F.col("words"), F.col("start")).alias("its_words"),
-            )
-            .select("doc_id", "item_id", "item_start", "n", "start", "span", equal.alias("equal"))
-            .where(enough)
-            .select("doc_id", "item_id", "start", (F.col("span") == SPAN).alias("spaced"))
+    lengths = sorted(row.n for row in items.select(_overlap(F.col("words")).alias("n")).distinct().collect())
+    if not lengths:
+        kind = {name: df.schema[name].dataType.simpleString() for df, name in ((docs, "doc_id"), (benchmark, "item_id"))}
+        return docs.sparkSession.createDataFrame(
+            [], f"doc_id {kind['doc_id']}, item_id {kind['item_id']}, hits long, first_word long"
         )
-    if not found:
-        nothing = docs.crossJoin(items.select("item_id")).where("false")
-        return nothing.select(
-            docs["doc_id"].alias("doc_id"), "item_id", F.lit(0).cast("long").alias("hits"),
-            F.lit(0).cast("long").alias("first_word"),
+    words, start = F.col("words"), F.col("start")
+    # Each item has seeds by the masks of its own length.
+    of_items = stage(
+        reduce(DataFrame.unionByName, [
+            _places(items.where(_overlap(words) == n)).select(
+                "item", start.alias("item_start"), F.explode(_keys([n], words, start)).alias("key"),
+                F.lit(n).alias("n"), _first_two(words, start).alias("pair"),
+            )
+            for n in lengths
+        ]).where("key IS NOT NULL"),
+        "seeds",
+    )
+    broadcast = fits_broadcast(of_items)
+    masks = [mask for n in lengths for mask in MASKS[n]]
+    texts = docs.select(
+        docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("tag"), _hashes(docs["text"]).alias("words")
+    )
+    places = _places(texts)
+    if all(mask[:2] == (0, 1) for mask in masks):
+        pairs = small(of_items.select("pair").distinct())
+        places = places.join(pairs, _first_two(words, start) == pairs["pair"], "left_semi")
+    keyed = F.posexplode(_keys(lengths, words, start)).alias("mask", "key")
+    # Words before a seed that an overlap can have, and as many from its first one on.
+    begin = F.greatest(start - (OVERLAP - 1), F.lit(0))
+    around = F.slice(words, begin + 1, F.lit(2 * OVERLAP - 1)).alias("its_words")
+    of_items = of_items.drop("pair")
+    if broadcast:
+        hits = places.select("doc_id", "words", "start", keyed).join(F.broadcast(of_items), "key").drop("key")
+        hits = hits.select("doc_id", "item", "item_start", "n", "start", "mask", begin.alias("begin"), around)
+    else:
+        hits = places.select("doc_id", "tag", "start", keyed).where("key IS NOT NULL").join(of_items, "key").drop("key")
+        hits = stage(hits, "places")
+        # A text that stands in several rows counts for each, so the places are needed once.
+        held = hits.distinct().withColumnRenamed("doc_id", "id").withColumnRenamed("tag", "its_tag")
+        hits = texts.join(held, texts["doc_id"].eqNullSafe(F.col("id")) & (texts["tag"] == F.col("its_tag")))
+        hits = hits.select("doc_id", "item", "item_start", "n", "start", "mask", begin.alias("begin"), around)
+    span = F.element_at(F.array(*[F.lit(mask[-1] + 1) for mask in masks]), F.col("mask") + 1)
+    compared = stage(hits, "hits").withColumn("span", span).join(small(items), "item")
+    # Where the item would begin in the document, counted from the first of its words at hand.
+    shift = start - F.col("item_start") - F.col("begin")
+    last = F.size("words") - F.col("n")
+
+    def enough(first: Column) -> Column:
+        """Whether the overlap that begins at a word of the item is equal enough."""
+        equal = F.aggregate(
+            F.sequence(F.lit(0), F.col("n") - 1), F.lit(0),
+            lambda so_far, k: so_far + F.coalesce(
+                (F.get(words, first + k) == F.get(F.col("its_words"), first + k + shift)).cast("int"), F.lit(0)
+            ),
         )
+        return 100 * equal >= EQUAL_PERCENT * F.col("n")
 
-    def first(spaced: bool) -> Column:
-        return F.min(F.when(F.col("spaced") == spaced, F.col("start")))
-
-    spaced = F.count_if("spaced")
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(
-        F.when(spaced > 0, spaced).otherwise(F.count("*")).alias("hits"),
-        F.coalesce(first(True), first(False)).cast("long").alias("first_word"),
+    lowest = F.greatest(F.lit(0), F.col("item_start") + F.col("span") - F.col("n"))
+    highest = F.least(F.col("item_start"), last)
+    return (
+        compared.where(lowest <= highest)
+        .where(F.exists(F.sequence(lowest, highest), enough))
+        .groupBy("doc_id", "item_id").agg(F.count("*").alias("hits"), F.min("start").cast("long").alias("first_word"))
     )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without those that hold a passage of benchmark, with all their columns."""
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct()
+    """The rows of docs without those that hold a passage of benchmark, with all their columns.
+
+    All rows of a doc_id go if one of them leaks, a null doc_id too.  Their ids are broadcast
+    behind a check of their size, so that texts are not shuffled.
+    """
+    leaks = small(find_leaks(docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct())
     return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["leaked"]), "left_anti")
 
 
 def oracle_sql() -> str:
     """The rows of `find_leaks` in plain SQL, by the words themselves."""
     words = "regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+')"
-    key = lambda mask: " || ' ' || ".join([f"'{mask}'", *[f"w[s + {k + 1}]" for k in MASKS[mask]]])
 
-    def seeds(name: str) -> str:
+    def seeds(name: str, condition: str) -> str:
         return " UNION ALL ".join(
-            f"SELECT id, s, {key(i)} AS key FROM (SELECT id, w, unnest(range(len(w) - {SPAN - 1})) AS s FROM {name}"
-            f" WHERE len(w) >= {SPAN})"
-            for i in range(len(MASKS))
+            f"SELECT id, s, {mask[-1] + 1} AS span, "
+            + " || ' ' || ".join([f"'{n}.{i}'", *[f"w[s + {k + 1}]" for k in mask]])
+            + f" AS key FROM (SELECT id, w, unnest(range(len(w) - {mask[-1]})) AS s FROM {name}"
+            f" WHERE len(w) > {mask[-1]} AND {condition.format(n)})"
+            for n, own in MASKS.items() for i, mask in enumerate(own)
         )
 
     return (
         f"WITH d AS (SELECT doc_id AS id, {words} AS w FROM documents WHERE text IS NOT NULL),"
-        f" b AS (SELECT item_id AS id, {words} AS w FROM benchmark WHERE text IS NOT NULL),"
-        f" ds AS ({seeds('d')}), bs AS ({seeds('b')}),"
-        " hit AS (SELECT ds.id AS doc_id, bs.id AS item_id, ds.s AS s, bs.s AS bs FROM ds JOIN bs USING (key)),"
-        " dw AS (SELECT id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),"
-        " bw AS (SELECT id, unnest(w) AS word, unnest(range(len(w))) AS pos, len(w) AS n FROM b),"
-        " near AS (SELECT doc_id, item_id, s, bs, bw.pos AS pos, n, bw.word = dw.word AS same FROM"
-        " (SELECT DISTINCT doc_id, item_id, s, bs FROM hit) h"
-        " JOIN bw ON bw.id = item_id LEFT JOIN dw ON dw.id = doc_id AND dw.pos = bw.pos + s - bs"
-        f" WHERE bw.pos BETWEEN bs - {OVERLAP - SPAN} AND bs + {OVERLAP - 1}),"
-        f" run AS (SELECT *, least({OVERLAP}, n) AS length, sum(CASE WHEN same THEN 1 ELSE 0 END) OVER"
-        f" (PARTITION BY doc_id, item_id, s, bs ORDER BY pos ROWS BETWEEN CURRENT ROW AND {OVERLAP - 1} FOLLOWING)"
-        " AS equal FROM near),"
-        " good AS (SELECT DISTINCT doc_id, item_id, s, bs FROM run WHERE pos <= bs AND pos + length <= n"
-        f" AND pos >= bs + {SPAN} - length AND 100 * equal >= {EQUAL_PERCENT} * length),"
-        " hits AS (SELECT good.doc_id AS doc_id, good.item_id AS item_id, good.s AS s FROM good"
-        " JOIN hit USING (doc_id, item_id, s, bs))"
-        " SELECT doc_id, item_id, count(*) AS hits, min(s) AS first_word FROM hits GROUP BY doc_id, item_id"
+        f" b0 AS (SELECT item_id AS id, {words} AS w FROM benchmark WHERE text IS NOT NULL),"
+        f" b AS (SELECT *, least({OVERLAP}, len(w)) AS n FROM b0),"
+        f" ds AS ({seeds('d', '{} IN (SELECT n FROM b)')}), bs AS ({seeds('b', 'n = {}')}),"
+        " hit AS (SELECT ds.id AS doc_id, bs.id AS item_id, ds.s AS s, bs.s AS bs, bs.span AS span FROM ds JOIN bs USING (key)),"
+        " near AS (SELECT hit.*, b.w AS bw, d.w AS dw, n FROM hit JOIN b ON b.id = item_id JOIN d ON d.id = doc_id),"
+        " run AS (SELECT *, unnest(range(greatest(0, bs + span - n), least(bs, len(bw) - n) + 1)) AS f FROM near),"
+        " good AS (SELECT DISTINCT doc_id, item_id, s, bs, span FROM run"
+        " WHERE 100 * len([k FOR k IN range(n) IF s + f + k >= bs AND bw[f + k + 1] = dw[s + f + k - bs + 1]])"
+        f" >= {EQUAL_PERCENT} * n)"
+        " SELECT doc_id, item_id, count(*) AS hits, min(s) AS first_word FROM hit"
+        " JOIN good USING (doc_id, item_id, s, bs, span) GROUP BY doc_id, item_id"
     )
