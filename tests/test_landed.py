@@ -5,7 +5,6 @@ import gzip
 import pytest
 
 import tidemark as tm
-from tidemark.plans.job import _computed
 from tidemark.sources.files import format_of
 
 
@@ -48,12 +47,3 @@ def test_collated_texts_count_as_equal_at_any_length(spark):
     values = {r["name"]: r["value"] for r in tm.metrics(df, wanted).collect()}
     assert values["CountDistinct"] == 3
     assert round(values["ApproxCountDistinct"]) == 3
-
-
-def test_failing_predicates_are_found_by_halving(spark):
-    df = spark.range(3).withColumnRenamed("id", "a")
-    good = [tm.Request("Satisfies", "a", f"a >= -{i}") for i in range(5)]
-    bad = tm.Request("Satisfies", "a", "1 / a > 0")
-    table, problems = _computed(df, [tm.Request("Size", "a"), *good, bad])
-    assert list(problems) == [bad] and "predicate fails" in problems[bad]
-    assert table.count() == 6

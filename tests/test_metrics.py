@@ -146,9 +146,9 @@ def test_doubling_a_table(spark):
         assert twice[column, "Distinctness"] == pytest.approx(once[column, "Distinctness"] / 2)
 
 
-def test_more_input_partitions_than_merge_buckets(spark):
+def test_more_input_partitions_than_a_merge_reads(spark):
     df = spark.range(0, 60_000, 1, 700).selectExpr("id", "id % 1000 / 4 AS x", "string(id % 9) AS s")
-    assert df.rdd.getNumPartitions() > scan.MERGE_BUCKETS
+    assert df.rdd.getNumPartitions() > scan.MERGE_WIDTH
     got = everything(df)
     assert got["*", "Size"] == 60_000 and got["id", "Uniqueness"] == 1
     assert got["id", "ApproxCountDistinct"] == pytest.approx(60_000, rel=0.1)

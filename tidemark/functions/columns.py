@@ -80,13 +80,19 @@ def is_collated(dtype: T.DataType) -> bool:
     return getattr(dtype, "collation", "UTF8_BINARY") != "UTF8_BINARY"
 
 
+def plain_text(value: str, dtype: T.DataType) -> str:
+    """A text by its bytes, as patterns and value types look at it, whatever its collation."""
+    return f"collate({value}, 'UTF8_BINARY')" if is_collated(dtype) else value
+
+
 def sketch_hash(value: str, dtype: T.DataType) -> str:
     """What the distinct-count sketch takes: a 64-bit hash; null stays null, -0.0 equals 0.0.
 
-    A collated text is left to the sketch, which heeds the collation but skips empty texts.
+    A collated text is left to the sketch, which heeds the collation but skips empty texts; the
+    mark that prevents this stands in front, where blanks at the end stay at the end.
     """
     if is_collated(dtype):
-        return f"concat({value}, '.')"
+        return f"concat('.', {value})"
     hashed = f"{value} + 0.0d" if isinstance(dtype, (T.FloatType, T.DoubleType)) else value
     return f"if({value} IS NULL, NULL, xxhash64({hashed}))"
 

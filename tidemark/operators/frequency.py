@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators.scan import Request, Scan, Unavailable, ratio
+from tidemark.operators.scan import COLUMNS, Request, Scan, Unavailable, ratio
 
 # Columns counted together; each batch reads only its own columns.
 COLUMNS_PER_SHUFFLE = 50
@@ -88,17 +88,24 @@ def _metrics_of(frequencies: DataFrame, names: list[str]) -> DataFrame:
     all_names = f"array({', '.join(C.text(name) for name in names)})"
     name = f"get({all_names}, CAST(column_no AS int))"
     rows = [
-        f"struct('{metric}', {name}, '', 'Column', {name}, '{metric}', {value})"
+        f"struct('{metric}', {name}, '', 'Column', {name}, '{metric}', {value}, 0L, 0.0d)"
         for metric, value in METRICS.items()
     ]
-    return stats.selectExpr(f"inline(array({', '.join(rows)}))").toDF(
-        "metric", "column", "params", "entity", "instance", "name", "value"
-    )
+    return stats.selectExpr(f"inline(array({', '.join(rows)}))").toDF(*COLUMNS)
 
 
 def histogram(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
-    """(value, n, ratio) of a column, nulls as a null value; the `top` most frequent if given."""
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
-    bins = df.groupBy(F.expr(C.name(column)).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    """(value, n, ratio) of a column, nulls as a null value; the `top` most frequent if given.
+
+    Values are counted by their frequency keys, so a long text is compared by its digest and
+    travels once for each task that has it.  The total is that of the counts: the table is read
+    once, and both share one shuffle.
+    """
+    value, dtype = Scan(df).column(column)
+    key = value if C.is_nested(dtype) else C.frequency_key(value, dtype)[1]
+    bins = df.groupBy(F.expr(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.any_value(F.expr(value)).alias("value")
+    ).select("value", "n")
+    total = bins.agg(F.sum("n").alias("total")).scalar()
     bins = bins.withColumn("ratio", F.col("n") / total.cast("double"))
     return bins if top is None else bins.orderBy(F.desc("n"), F.asc("value")).limit(top)

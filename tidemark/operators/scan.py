@@ -1,9 +1,9 @@
 """Metrics that need one look at each row: counts, extremes, moments, sketches, predicates.
 
 All metrics of a table share one scan.  Each metric is a set of *mergeable* partial
-aggregates, deduplicated by key, so the scan is aggregated in two steps: input partitions
-fold into a fixed number of merge buckets, and the buckets fold into one row.  No task ever
-merges the sketches of every input partition, however many there are.
+aggregates, deduplicated by key, so the scan is aggregated as a tree: MERGE_WIDTH neighbouring
+input partitions fold into one row, as many of these into the next, in as many levels as the
+number of partitions needs.  No task ever merges the sketches of more than a bounded number.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions import columns as C, patterns
 
-# Tasks that merge partial results before the last merge, and rows the last merge reads.
-MERGE_BUCKETS = 256
+# Partial results that one task merges, and the most levels of such merges before the last one.
+MERGE_WIDTH, MAX_LEVELS = 64, 4
 # Columns looked at per scan: expression lists stay within what one task can generate, and
 # a columnar source is still read once in all, since batches share no columns.
 COLUMNS_PER_SCAN = 100
@@ -72,7 +72,7 @@ class Scan:
     def keep(self, key: tuple, partial: str, merge: str) -> str:
         """Adds a partial aggregate once per key; returns the name of its merged value.
 
-        `merge` is an aggregate over the partial results, written {}.
+        `merge` is an aggregate over partial results, written {}, whose value is one of them again.
         """
         if key not in self._kept:
             alias = f"s{len(self._kept)}"
@@ -86,11 +86,15 @@ class Scan:
             if level:
                 rows = rows.selectExpr("*", *[f"{sql} AS {alias}" for sql, alias in level.items()])
         partial = ", ".join(f"{partial} AS {alias}" for alias, partial, _ in self._kept.values())
-        return (
-            rows.groupBy(F.expr(f"pmod(spark_partition_id(), {MERGE_BUCKETS})").alias("bucket"))
-            .agg(F.expr(f"struct({partial})").alias("parts"))
-            .selectExpr(*[f"{merge} AS {alias}" for alias, _, merge in self._kept.values()])
+        merged = [f"{merge} AS {alias}" for alias, _, merge in self._kept.values()]
+        parts = rows.groupBy(F.expr(next_bucket("spark_partition_id()")).alias("bucket")).agg(
+            F.expr(f"struct({partial})").alias("parts")
         )
+        for _ in range(merge_levels(input_partitions(self.df)) - 1):
+            parts = parts.groupBy(F.expr(next_bucket("bucket")).alias("bucket")).agg(
+                F.expr(f"struct({', '.join(merged)})").alias("parts")
+            )
+        return parts.selectExpr(*merged)
 
     def passes(self, sql: str, check: Callable[[], object]) -> bool:
         """Whether a check of a rule's text raises nothing; each text is checked once."""
@@ -138,7 +142,7 @@ class Scan:
         if value_type == "String":  # what is none of the others
             others = (self.type_count(column, t) for t in ("Integral", "Fractional", "Boolean"))
             return f"({self.present(column)} - {' - '.join(others)})"
-        return self.matching(f"{self._value_type(value)} = {C.text(value_type)}")
+        return self.matching(f"{self._value_type(C.plain_text(value, dtype))} = {C.text(value_type)}")
 
     def number_count(self, column: str) -> str:
         """Rows with a number."""
@@ -153,6 +157,7 @@ class Scan:
             return value if isinstance(dtype, T.DoubleType) else self.input(f"CAST({value} AS double)")
         if not C.is_text(dtype):
             raise Unavailable(f"column {column} of type {dtype.simpleString()} is not numeric")
+        value = C.plain_text(value, dtype)
         found = self._value_type(value)
         return self.input(
             f"if({found} IN ('Integral', 'Fractional'), try_cast({value} AS double), NULL)"
@@ -166,6 +171,29 @@ class Scan:
         return f"if({column_type(*counts)} IN ('Integral', 'Fractional'), {value}, NULL)"
 
 
+def next_bucket(bucket: str) -> str:
+    """The row into which a partial result is merged, by the number of its partition or bucket."""
+    return f"{bucket} div {MERGE_WIDTH}"
+
+
+def merge_levels(partitions: int) -> int:
+    """Levels after which at most MERGE_WIDTH partial results of so many partitions are left."""
+    levels = 1
+    while partitions > MERGE_WIDTH ** (levels + 1) and levels < MAX_LEVELS:
+        levels += 1
+    return levels
+
+
+def input_partitions(df: DataFrame) -> int:
+    """About how many partitions a scan of df has, by the size that Spark expects of it.
+
+    A size that Spark does not know is taken for a very large one.
+    """
+    query = df._jdf.queryExecution()
+    size = int(str(query.optimizedPlan().stats().sizeInBytes()))
+    return size // query.sparkSession().sessionState().conf().filesMaxPartitionBytes() + 1
+
+
 def column_type(integral: str, fractional: str, boolean: str, other: str) -> str:
     """The type of a column from the number of values of each type."""
     return (
@@ -180,9 +208,10 @@ def ratio(part: str, whole: str) -> str:
     return f"try_divide(CAST({part} AS double), CAST({whole} AS double))"
 
 
-# -- metrics: each yields (reported name, value over merged aggregates)
+# -- metrics: each yields (reported name, value over merged aggregates) and, where there are any,
+# the number of rows on which it failed, and by how much the value may be off
 
-Reported = Iterator[tuple[str, str]]
+Reported = Iterator[tuple[str, ...]]
 
 
 def _size(scan: Scan, column: str, params: str) -> Reported:
@@ -263,17 +292,101 @@ def _minimum(scan: Scan, column: str, params: str) -> Reported:
     yield "Minimum", scan.if_numeric(column, value)
 
 
+# A double is cut into whole multiples of these powers of two, LIMB_BITS apart.  Sums of whole
+# numbers do not depend on their order; 2^(63 - LIMB_BITS) rows can be added by one task.
+LIMB_BITS = 32
+LIMBS = tuple(range(96, -129, -LIMB_BITS))
+# What is larger is added as doubles; what is smaller than the last power is rounded, row by row.
+LARGEST = 2.0 ** (LIMBS[0] + LIMB_BITS - 1)
+# Half a unit in the last place of a double, relative to it.
+HALF_UNIT = 2.0**-53
+
+
 def _sum_of(scan: Scan, column: str) -> str:
-    return scan.keep(("sum", column), f"sum({scan.number(column)})", "sum({})")
+    """The sum, the same in every bit however the rows are dealt out; null without a number."""
+    value, dtype = scan.atomic(column)
+    total = "CAST(sum({}) AS decimal(38,0))"
+    if isinstance(dtype, T.LongType):
+        # Halves of 32 bits, so that neither sum overflows.
+        partial = (
+            f"struct(CAST(sum(shiftright({value}, 32)) AS decimal(38,0)) AS high,"
+            f" CAST(sum({value} & 4294967295) AS decimal(38,0)) AS low)"
+        )
+        merge = f"struct({total.format('{}.high')} AS high, {total.format('{}.low')} AS low)"
+        parts = scan.keep(("exact sum", column), partial, merge)
+        return f"CAST({parts}.high * 4294967296BD + {parts}.low AS double)"
+    if C.is_integral(dtype):
+        partial = f"CAST(sum(CAST({value} AS bigint)) AS decimal(38,0))"
+        return f"CAST({scan.keep(('exact sum', column), partial, total.format('{}'))} AS double)"
+    if isinstance(dtype, T.DecimalType):
+        # Wholes and fractions apart, so that a sum has all digits for the wholes.
+        whole, wide = f"CAST(floor({value}) AS decimal(38,0))", f"decimal(38,{dtype.scale})"
+        partial = (
+            f"struct(try_sum({whole}) AS whole, CAST(sum({value} - floor({value})) AS {wide}) AS part)"
+        )
+        merge = f"struct(try_sum({{}}.whole) AS whole, CAST(sum({{}}.part) AS {wide}) AS part)"
+        parts = scan.keep(("exact sum", column), partial, merge)
+        return f"(CAST({parts}.whole AS double) + CAST({parts}.part AS double))"
+    x = scan.number(column)
+    common = f"if(abs({x}) < {LARGEST!r}d, {x}, if({x} IS NULL, NULL, 0.0d))"
+    # How often each power goes into a value; less what the one before has taken.
+    whole = [f"rint({common} * {2.0**-power!r}d)" for power in LIMBS]
+    limbs = [whole[0], *[f"{b} - {a} * {2.0**LIMB_BITS!r}d" for a, b in zip(whole, whole[1:])]]
+    fields = [(f"l{i}", f"CAST(sum(CAST({limb} AS bigint)) AS decimal(38,0))") for i, limb in enumerate(limbs)]
+    partial = ", ".join(f"{sql} AS {name}" for name, sql in fields)
+    merge = ", ".join(f"{total.format('{}.' + name)} AS {name}" for name, _ in fields)
+    rest = f"sum(if(abs({x}) < {LARGEST!r}d, NULL, {x}))"
+    parts = scan.keep(
+        ("exact sum", column), f"struct({partial}, {rest} AS rest)", f"struct({merge}, sum({{}}.rest) AS rest)"
+    )
+    return f"({_from_limbs([f'{parts}.l{i}' for i in range(len(LIMBS))])} + coalesce({parts}.rest, 0.0d))"
+
+
+def _from_limbs(limbs: list[str]) -> str:
+    """The double that limbs, the highest first, stand for.
+
+    What exceeds a limb is carried over from the lowest one on, of the amount: all digits are then
+    of one sign, so that none cancels another when they are added as doubles.
+    """
+    base = f"{2**LIMB_BITS}BD"
+    digit = f"pmod(a.carry + limb, {base})"
+    zero = "struct(0BD AS carry, CAST(array() AS array<double>) AS digits)".replace("0BD", "CAST(0 AS decimal(38,0))")
+
+    def digits(sign: str) -> str:
+        from_lowest = f"array({', '.join(sign + limb for limb in reversed(limbs))})"
+        return (
+            f"aggregate({from_lowest}, {zero}, (a, limb) -> struct("
+            f"CAST((a.carry + limb - {digit}) / {base} AS decimal(38,0)) AS carry,"
+            f" concat(a.digits, array(CAST({digit} AS double))) AS digits))"
+        )
+
+    def value(sign: str) -> str:
+        parts = digits(sign)
+        return (
+            f"aggregate(reverse({parts}.digits), CAST({parts}.carry AS double),"
+            f" (sum, digit) -> sum * {2.0**LIMB_BITS!r}d + digit) * {2.0**LIMBS[-1]!r}d"
+        )
+
+    return f"if({digits('')}.carry < 0, -({value('-')}), {value('')})"
+
+
+def _slack_of(scan: Scan, column: str) -> str:
+    """What a sum may be off because its values are doubles: half a unit in the last place of each."""
+    value, dtype = scan.atomic(column)
+    if C.is_integral(dtype) or isinstance(dtype, T.DecimalType):
+        return "0.0d"
+    amounts = scan.keep(("amounts", column), f"sum(abs({scan.number(column)}))", "sum({})")
+    return f"({amounts} * {HALF_UNIT!r}d)"
 
 
 def _sum(scan: Scan, column: str, params: str) -> Reported:
-    yield "Sum", scan.if_numeric(column, _sum_of(scan, column))
+    yield "Sum", scan.if_numeric(column, _sum_of(scan, column)), "0L", _slack_of(scan, column)
 
 
 def _mean(scan: Scan, column: str, params: str) -> Reported:
-    mean = ratio(_sum_of(scan, column), scan.number_count(column))
-    yield "Mean", scan.if_numeric(column, mean)
+    count = scan.number_count(column)
+    mean, slack = (ratio(value, count) for value in (_sum_of(scan, column), _slack_of(scan, column)))
+    yield "Mean", scan.if_numeric(column, mean), "0L", slack
 
 
 def _standard_deviation(scan: Scan, column: str, params: str) -> Reported:
@@ -297,7 +410,7 @@ def _correlation(scan: Scan, column: str, params: str) -> Reported:
 
 
 def _fold(means: tuple[str, ...], squares: tuple[str, ...]) -> str:
-    """Merges the moments of the merge buckets: (n, means, sums of squared deviations).
+    """Merges the moments of partial results: (n, means, sums of squared deviations).
 
     Merging two parts moves the mean by step * n_b / n and adds step_x * step_y * n_a * n_b / n
     to a sum of products; a part without values has null means and is left out.
@@ -338,7 +451,7 @@ def _max_length(scan: Scan, column: str, params: str) -> Reported:
 
 def _pattern_match(scan: Scan, column: str, params: str) -> Reported:
     value, dtype = scan.atomic(column)
-    subject = value if C.is_text(dtype) else f"CAST({value} AS string)"
+    subject = C.plain_text(value, dtype) if C.is_text(dtype) else f"CAST({value} AS string)"
     found = f"{subject} RLIKE {C.text(params)}"
     # constant folding compiles the pattern without starting a job
     compiled = f"'' RLIKE {C.text(params)}"
@@ -424,11 +537,21 @@ def _comparable(scan: Scan, a: str, b: str) -> tuple[str, str]:
 
 
 def _satisfies(scan: Scan, column: str, params: str) -> Reported:
+    """The share of rows on which a predicate is true; null if it cannot be told on some row.
+
+    try_to_binary turns any error of its argument into null, so a row is one of three: true, not
+    true, failed.  The condition before it, which is always met, keeps parts that occur in several
+    predicates from being computed ahead of it, where their errors would not be caught.
+    """
     predicate = f"CAST(({params}) AS boolean)"
     # analysed here, not run
     if not scan.passes(predicate, lambda: scan.df.selectExpr(f"count_if({predicate})")):
         raise Unavailable(f"bad predicate {params}")
-    yield "Compliance", scan.fraction(predicate)
+    outcome = scan.input(
+        f"if(spark_partition_id() >= 0, try_to_binary(if({predicate}, '01', '00'), 'hex'), NULL)"
+    )
+    failed = scan.matching(f"{outcome} IS NULL")
+    yield "Compliance", f"if({failed} > 0, NULL, {scan.fraction(f'{outcome} = X{chr(39)}01{chr(39)}')})", failed
 
 
 METRICS: dict[str, Callable[[Scan, str, str], Reported]] = {
@@ -461,7 +584,11 @@ METRICS: dict[str, Callable[[Scan, str, str], Reported]] = {
 }
 
 
-def _row(request: Request, name: str, value: str) -> str:
+# The long metrics table.
+COLUMNS = ("metric", "column", "params", "entity", "instance", "name", "value", "failed", "slack")
+
+
+def _row(request: Request, name: str, value: str, failed: str = "0L", slack: str = "0.0d") -> str:
     """One row of the long metrics table."""
     if request.metric == "Size":
         entity, instance = "Dataset", "*"
@@ -470,7 +597,8 @@ def _row(request: Request, name: str, value: str) -> str:
     else:
         entity, instance = "Column", request.column
     cells = ", ".join(C.text(cell) for cell in (*request, entity, instance, name))
-    return f"struct({cells}, CAST({value} AS double) + 0.0d)"  # + 0.0 turns -0.0 into 0.0
+    # + 0.0 turns -0.0 into 0.0
+    return f"struct({cells}, CAST({value} AS double) + 0.0d, CAST({failed} AS bigint), CAST({slack} AS double))"
 
 
 def scan_metrics(
@@ -492,11 +620,11 @@ def scan_metrics(
                 except Unavailable as reason:
                     problems[request] = str(reason)
                     continue
-                rows += [_row(request, name, value) for name, value in found]
+                rows += [_row(request, *cells) for cells in found]
         if rows:
             frames.append(
                 scan.run()
                 .selectExpr(f"inline(array({', '.join(rows)}))")
-                .toDF("metric", "column", "params", "entity", "instance", "name", "value")
+                .toDF(*COLUMNS)
             )
     return frames, problems

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from functools import reduce
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.operators.constraints import RESULT_COLUMNS, RESULT_SCHEMA, evaluate
-from tidemark.operators.rules import rules_for
-from tidemark.operators.scan import Request
+from tidemark.operators.rules import active_rules, collect_rules, rejected_rules, rules_for, unpivot_rules
 from tidemark.plans.metrics import compute
 from tidemark.plans.profile import profile_requests, profile_rows
 from tidemark.plans.verify import local_rules, read_rules_of, requests_of
 from tidemark.sources import files
-from tidemark.sources.folders import shared_folder
+from tidemark.sources.folders import kept, shared_folder
 
 OUTCOME_COLUMNS = ("interface", "status", "message", "profile", "verification")
 _OUTCOME_SCHEMA = pa.schema([(name, pa.string()) for name in OUTCOME_COLUMNS])
-# Errors that the values of a row cause: data exceptions and raise_error.
-_ROW_ERROR = re.compile("SQLSTATE: (22|P0001)")
 
 
 def run(
@@ -33,6 +29,7 @@ def run(
     out: str,
     *,
     tables: Mapping[str, str] | None = None,
+    schemas: Mapping[str, T.StructType | str] | None = None,
     read: Callable[[SparkSession, str, list[str]], DataFrame] | None = None,
     pattern: str = r"^([^.]+)",
     concurrency: int = 4,
@@ -40,17 +37,19 @@ def run(
     """Writes `<out>/<interface>.profile.csv` and `.verification.csv` per landed file.
 
     Returns one row per requested interface.  An interface that fails, or of which nothing
-    landed, is reported and the others continue.  Interfaces are independent jobs, a few of
-    them at a time, so that small ones do not leave a cluster idle.
-
-    `tables` names the catalog table an interface takes its schema from; `read` replaces the
-    reader altogether; `pattern` finds the interface in the name of a landed file.  All files
-    landed for an interface are one table.
+    landed, is reported and the others continue; both results of an interface are replaced
+    together or not at all.  Interfaces are independent jobs, a few of them at a time, so that
+    small ones do not leave a cluster idle.  A rule without a table or a field, which belongs to
+    no interface, is reported as a row of its own with the status Rejected.
+
+    `tables` names the catalog table an interface takes its schema from, `schemas` its schema where
+    there is no such table; `read` replaces the reader altogether; `pattern` finds the interface
+    in the name of a landed file.  All files landed for an interface are one table.
     """
-    tables = tables or {}
+    tables, schemas = tables or {}, schemas or {}
     read = read or (
         lambda spark, interface, paths: files.read_interface(
-            spark, paths, table=tables.get(interface)
+            spark, paths, table=tables.get(interface), schema=schemas.get(interface)
         )
     )
     shared_folder(spark)
@@ -71,65 +70,43 @@ def run(
 
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         outcomes = list(pool.map(one, dict.fromkeys(interfaces)))
+    outcomes += _rejections(rules)
     if not outcomes:
         return spark.createDataFrame(_OUTCOME_SCHEMA.empty_table())
     columns = {name: list(cells) for name, cells in zip(OUTCOME_COLUMNS, zip(*outcomes))}
     return spark.createDataFrame(pa.table(columns, schema=_OUTCOME_SCHEMA))
 
 
-def _computed(
-    df: DataFrame, requests: Iterable[Request]
-) -> tuple[DataFrame, dict[Request, str]]:
-    """The metrics, kept in the shared folder: a row each, read by both writes of a job.
-
-    A free predicate may fail on a row.  It is then the only rule that fails: the other
-    metrics are computed without the predicates, and of these the set is halved until those that
-    fail are found.  Other errors are raised.
-    """
-    requests = list(requests)
-    predicates = [r for r in dict.fromkeys(requests) if r.metric == "Satisfies"]
-    table, problems = compute(df, requests)
-    try:
-        return table.checkpoint(), problems
-    except Exception as error:
-        if not predicates or not _ROW_ERROR.search(str(error)):
-            raise
-        failure = error
-
-    def holding(some: list[Request], error: Exception | None = None) -> list[DataFrame]:
-        """The metrics of those that fail on no row; with an error, one is known to fail."""
-        if error is None:
-            try:
-                return [compute(df, some)[0].checkpoint()]
-            except Exception as raised:
-                if not _ROW_ERROR.search(str(raised)):
-                    raise
-                error = raised
-        if len(some) == 1:
-            problems[some[0]] = f"predicate fails on the data: {_first_line(error)}"
-            return []
-        half = len(some) // 2
-        return holding(some[:half]) + holding(some[half:])
-
-    others = compute(df, [r for r in requests if r.metric != "Satisfies"])[0].checkpoint()
-    predicates = [r for r in predicates if r not in problems]
-    return reduce(DataFrame.unionByName, [others, *holding(predicates, failure)]), problems
-
-
 def _first_line(error: Exception) -> str:
     return str(error).split("\n")[0]
 
 
+def _rejections(rules: DataFrame) -> list[tuple]:
+    """An outcome for each rule that belongs to no table or no field."""
+    found = collect_rules(active_rules(unpivot_rules(rejected_rules(rules))))
+    return [
+        (row["source"], "Rejected", f"rule {row['rule']} of field {row['field']} has no table or no field", None, None)
+        for row in found
+    ]
+
+
 def _process(df: DataFrame, rules: list, profile_target: str, verification_target: str) -> None:
-    """Computes what profile and rules need together, once, and writes both results."""
+    """Computes what profile and rules need together, once, and publishes both results."""
+    spark = df.sparkSession
     wanted = profile_requests(df.schema)
-    table, problems = _computed(df, [*wanted, *requests_of(rules)])
-    files.write_single_csv(
-        profile_rows(table, wanted), profile_target, "entity", "instance", "name"
-    )
-    if rules:
-        judged = evaluate(local_rules(df.sparkSession, rules, problems), table)
-        results = judged.select(*RESULT_COLUMNS)
-    else:
-        results = df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    files.write_single_csv(results, verification_target, "source", "field", "rule")
+    table, problems = compute(df, [*wanted, *requests_of(rules)])
+    folder = f"{profile_target.rsplit('/', 1)[0]}/_aside-{uuid.uuid4().hex}"
+    aside = {f"{folder}/profile.csv": profile_target, f"{folder}/verification.csv": verification_target}
+    profile_aside, verification_aside = aside
+    try:
+        with kept(table) as metrics:  # a row for each metric, read by both writes
+            files.write_single_csv(profile_rows(metrics, wanted), profile_aside, "entity", "instance", "name")
+            if rules:
+                judged = evaluate(local_rules(spark, rules, problems), metrics)
+                results = judged.select(*RESULT_COLUMNS)
+            else:
+                results = spark.createDataFrame([], RESULT_SCHEMA)
+            files.write_single_csv(results, verification_aside, "source", "field", "rule")
+        files.publish(spark, aside)
+    finally:
+        files.delete(spark, folder)

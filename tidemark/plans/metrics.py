@@ -13,7 +13,7 @@ from tidemark.operators.scan import Request
 
 SCHEMA = (
     "metric string, column string, params string,"
-    " entity string, instance string, name string, value double"
+    " entity string, instance string, name string, value double, failed long, slack double"
 )
 
 

@@ -49,12 +49,14 @@ def profile_rows(table: DataFrame, requests: list[Request]) -> DataFrame:
 
 
 def column_profiles(df: DataFrame) -> DataFrame:
-    """(column, completeness, approx_distinct, data_type) per column, from one scan."""
+    """(column, completeness, approx_distinct, data_type) per column, from one scan.
+
+    Of a nested column (array, map, struct, variant) only the completeness is known.
+    """
     requests = [
         Request(metric, field.name)
         for field in df.schema.fields
-        if not C.is_nested(field.dataType)
-        for metric in ("Completeness", "ApproxCountDistinct", "DataType")
+        for metric in ("Completeness", *(() if C.is_nested(field.dataType) else ("ApproxCountDistinct", "DataType")))
     ]
     table, _ = compute(df, requests)
 
@@ -65,5 +67,5 @@ def column_profiles(df: DataFrame) -> DataFrame:
     return table.groupBy(F.col("instance").alias("column")).agg(
         F.expr(value("Completeness")).alias("completeness"),
         F.expr(value("ApproxCountDistinct")).alias("approx_distinct"),
-        F.expr(column_type(*counts)).alias("data_type"),
+        F.expr(f"if(count_if(metric = 'DataType') > 0, {column_type(*counts)}, NULL)").alias("data_type"),
     )

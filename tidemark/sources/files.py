@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -13,6 +13,8 @@ from tidemark.operators.rules import KEYS, RULES
 
 # File formats by the ending of a path; a landed file may also be a folder of part files.
 FORMATS = {"csv": "csv", "txt": "csv", "parquet": "parquet", "json": "json", "orc": "orc"}
+# What a compressed file without another ending holds: no Parquet file is compressed as a whole.
+COMPRESSED_FORMAT = "csv"
 # Endings of compressed files that Spark opens by themselves.
 COMPRESSIONS = ("gz", "bz2", "deflate", "lz4", "snappy", "zst", "zstd")
 
@@ -83,11 +85,16 @@ def read_interface(
 
 
 def format_of(path: str) -> str:
-    """The format of a landed file by its ending, one of compression aside; else Parquet."""
+    """The format of a landed file by its ending, one of compression aside.
+
+    Without a known ending it is CSV if compressed, else Parquet.
+    """
     endings = path.rstrip("/").rsplit("/", 1)[-1].lower().split(".")[1:]
-    if len(endings) > 1 and endings[-1] in COMPRESSIONS:
+    other = "parquet"
+    if endings and endings[-1] in COMPRESSIONS:
         endings.pop()
-    return FORMATS.get(endings[-1] if endings else "", "parquet")
+        other = COMPRESSED_FORMAT
+    return FORMATS.get(endings[-1] if endings else "", other)
 
 
 def _bound_by_header(
@@ -107,6 +114,9 @@ def _bound_by_header(
         by_header.setdefault(tuple(header), []).append(path)
     parts = []
     for header, own in by_header.items():
+        if not header:  # an empty file has no header, and no rows
+            parts.append(spark.createDataFrame([], declared))
+            continue
         found = {folded(name) for name in header}
         missing = [field.name for field in declared.fields if folded(field.name) not in found]
         if missing:
@@ -152,6 +162,41 @@ def write_single_csv(df: DataFrame, path: str, *order: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
+def publish(spark: SparkSession, aside: Mapping[str, str]) -> None:
+    """Moves results that were written aside to their places, all or none.
+
+    What stood there before is kept until all are in place, and is put back if a move fails.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def at(path: str):
+        return jvm.org.apache.hadoop.fs.Path(path)
+
+    def move(source: str, target: str) -> None:
+        if not at(source).getFileSystem(conf).rename(at(source), at(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
+    moved, earlier = [], []
+    try:
+        for source, target in aside.items():
+            if at(target).getFileSystem(conf).exists(at(target)):
+                move(target, f"{source}.earlier")
+                earlier.append((f"{source}.earlier", target))
+            move(source, target)
+            moved.append(target)
+    except Exception:
+        for target in moved:
+            at(target).getFileSystem(conf).delete(at(target), True)
+        for source, target in earlier:
+            move(source, target)
+        raise
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def profile_path(out: str, interface: str) -> str:
     return f"{out.rstrip('/')}/{interface}.profile.csv"
 

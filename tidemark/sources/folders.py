@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,3 +21,16 @@ def shared_folder(spark: SparkSession) -> str:
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """df, computed once: written to the shared folder, and deleted when done with."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

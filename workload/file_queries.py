@@ -230,3 +230,40 @@ QUERIES["interface_schema_from_catalog"] = _catalog_schema
 ORACLE["interface_schema_from_catalog"] = rows_sql(
     "orders", {}, [(c, "Mean", metric_sql("Mean", c)) for c in ("o_orderkey", "o_totalprice")]
 )
+
+
+def _interface_reordered(spark, sf_dir):
+    """Line items landed in two CSV files whose columns stand in another order, one with a column more."""
+    df = table(spark, sf_dir, "lineitem")
+    first, second = _new_folder(spark) + ".csv", _new_folder(spark) + ".csv"
+    df.where("l_linenumber < 4").select(*reversed(df.columns)).write.option("header", True).csv(first)
+    df.where("l_linenumber >= 4").select(F.lit("x").alias("extra"), *df.columns).write.option("header", True).csv(second)
+    landed = tm.read_interface(spark, [first, second], schema=df.schema)
+    wanted = [
+        tm.Request(m, c) for m in ("Completeness", "Minimum", "Maximum", "Sum", "CountDistinct")
+        for c in ("l_orderkey", "l_quantity", "l_discount")
+    ]
+    return rounded(tm.metrics(landed, wanted))
+
+
+QUERIES["csv_interface_reordered"] = _interface_reordered
+ORACLE["csv_interface_reordered"] = ORACLE["csv_interface_roundtrip"]
+
+
+def _run_rejected(spark, sf_dir):
+    """Rules without a table or a field beside one that holds: each has an outcome."""
+    cells = [("nation", "n_name", "s"), (None, "n_name", "s"), (" ", "n_nationkey", "s"), ("nation", None, "s"), (None, None, None)]
+    rules = spark.createDataFrame(cells, "source string, field string, isComplete string")
+    outcome = tm.run(spark, sf_dir, ["nation"], rules, _new_folder(spark))
+    size = table(spark, sf_dir, "nation").agg(F.count("*")).scalar()
+    return outcome.select("interface", "status", "message", F.when(F.col("status") == "Success", size).alias("n"))
+
+
+QUERIES["run_rejected_rules"] = _run_rejected
+ORACLE["run_rejected_rules"] = (
+    "SELECT 'nation' AS interface, 'Success' AS status, '' AS message, count(*) AS n FROM nation UNION ALL"
+    " SELECT * FROM (VALUES"
+    " (NULL, 'Rejected', 'rule isComplete of field n_name has no table or no field', NULL),"
+    " (' ', 'Rejected', 'rule isComplete of field n_nationkey has no table or no field', NULL),"
+    " ('nation', 'Rejected', 'rule isComplete of field None has no table or no field', NULL))"
+)

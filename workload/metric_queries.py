@@ -301,3 +301,76 @@ ORACLE["metric_histogram_top"] = (
     " round(count(*)::double / (SELECT count(*) FROM lineitem), 8) AS ratio"
     " FROM lineitem GROUP BY 1 ORDER BY n DESC, value LIMIT 20"
 )
+
+
+def _histogram_long_text(spark, sf_dir):
+    """Repeated documents, which are counted by their digests."""
+    bins = tm.histogram(table(spark, sf_dir, "documents"), "text").where("n > 1")
+    return bins.selectExpr("md5(CAST(value AS binary)) AS digest", "n", "round(ratio, 8) AS ratio")
+
+
+QUERIES["metric_histogram_long_text"] = _histogram_long_text
+ORACLE["metric_histogram_long_text"] = (
+    "SELECT md5(text) AS digest, count(*) AS n,"
+    " round(count(*)::double / (SELECT count(*) FROM documents), 8) AS ratio"
+    " FROM documents GROUP BY text HAVING count(*) > 1"
+)
+
+
+def _column_profiles_embeddings(spark, sf_dir):
+    found = tm.column_profiles(table(spark, sf_dir, "embeddings"))
+    return found.selectExpr("column", "completeness", "data_type", "approx_distinct IS NULL AS nested")
+
+
+QUERIES["column_profiles_embeddings"] = _column_profiles_embeddings
+ORACLE["column_profiles_embeddings"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c})::double / count(*) AS completeness,"
+    f" {kind} AS data_type, {kind} IS NULL AS nested FROM embeddings"
+    for c, kind in (("vec_id", "'Integral'"), ("label", "'Integral'"), ("embedding", "CAST(NULL AS varchar)"))
+)
+
+# Texts that are equal under their collation, in another case or with blanks at the end, and the
+# binary texts that stand for them.
+_COLLATED = {
+    "lcase": "if(c_custkey % 2 = 0, upper(c_mktsegment), lower(c_mktsegment)) COLLATE UTF8_LCASE",
+    "unicode_ci": "if(c_custkey % 2 = 0, upper(c_mktsegment), lower(c_mktsegment)) COLLATE UNICODE_CI",
+    "padded": "concat(c_name, repeat(' ', CAST(c_custkey % 3 AS int))) COLLATE UTF8_BINARY_RTRIM",
+    "number": "CAST(c_nationkey AS string) COLLATE UNICODE_CI",
+}
+_STAND_INS = {"lcase": "lower(c_mktsegment)", "unicode_ci": "lower(c_mktsegment)", "padded": "c_name",
+              "number": "CAST(c_nationkey AS varchar)"}
+
+
+def _collated(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(*[f"{sql} AS {name}" for name, sql in _COLLATED.items()])
+
+
+def _profile_collated(spark, sf_dir):
+    return rounded(tm.profile(_collated(spark, sf_dir)))
+
+
+def _count_distinct_collated(spark, sf_dir):
+    """Exact counts by collation, and that the sketch heeds it too."""
+    requests = [Request(m, c) for m in ("ApproxCountDistinct", "CountDistinct") for c in _COLLATED]
+    found = tm.metrics(_collated(spark, sf_dir), requests)
+    exact, estimate = (f"max(value) FILTER (WHERE name = '{n}')" for n in ("CountDistinct", "ApproxCountDistinct"))
+    return found.groupBy("instance").agg(
+        F.expr(exact).alias("exact"), F.expr(f"abs({estimate} / {exact} - 1) <= 0.1").alias("within")
+    )
+
+
+_STAND_IN_SQL = f"SELECT {', '.join(f'{sql} AS {name}' for name, sql in _STAND_INS.items())} FROM customer"
+QUERIES["profile_collated"] = _profile_collated
+ORACLE["profile_collated"] = rows_sql("customer", {}, [
+    ("*", "Size", "SELECT count(*)::double FROM t"),
+    *[
+        (c, m, metric_sql(m, c))
+        for c in _COLLATED for m in ("Completeness", "Distinctness", "Entropy", "Uniqueness", "UniqueValueRatio")
+    ],
+    *[row for c in _COLLATED for row in type_rows(c)],
+    *[("number", m, metric_sql(m, "number")) for m in ("Minimum", "Maximum", "Mean", "Sum")],
+]).replace("SELECT * FROM customer", _STAND_IN_SQL)
+QUERIES["metric_count_distinct_collated"] = _count_distinct_collated
+ORACLE["metric_count_distinct_collated"] = f"WITH t AS ({_STAND_IN_SQL}) " + " UNION ALL ".join(
+    f"SELECT '{c}' AS instance, count(DISTINCT {c})::double AS exact, true AS within FROM t" for c in _COLLATED
+)

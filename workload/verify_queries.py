@@ -44,6 +44,8 @@ _NULLED_BALANCE = {"c_acctbal": "CASE WHEN c_acctbal >= 0 THEN c_acctbal END"}
 _SSN = {"c_name": "concat('ssn 123-45-678', CAST(c_custkey % 10 AS varchar(20)))"}
 _CARD = {"c_name": "concat('card 4111 1111 1111 111', CAST(c_custkey % 10 AS varchar(20)))"}
 _EMAIL = {"c_name": "concat('to: user', CAST(c_custkey AS varchar(20)), '@example.com')"}
+# 0.1, 0.2 and -0.3 as often as each other: there are three times as many customers as any.
+_THIRDS = {"c_acctbal": "CAST(CASE c_custkey % 3 WHEN 0 THEN 0.1 WHEN 1 THEN 0.2 ELSE -0.3 END AS double)"}
 _NUMERIC_TEXT = {
     "o_custkey": "CAST(o_custkey AS varchar(20))",
     "o_totalprice": "CAST(CAST(o_totalprice AS decimal(12,2)) AS varchar(20))",
@@ -220,6 +222,28 @@ CASES: dict[str, tuple[str, dict[str, str], list[Case]]] = {
         _share("text", "satisfies", "length(text) = n_chars", "length(text) = n_chars"),
         _share("lang", "satisfies", "lang = 'en' AND n_chars > 0", "lang = 'en' AND n_chars > 0"),
     ]),
+    "verify_predicate_fails_on_row": ("lineitem", {}, [
+        Case("l_quantity", "satisfies", "1 / (l_linenumber - 3) < 9",
+             "SELECT CASE WHEN count(*) FILTER (WHERE l_linenumber = 3) = 0 THEN 1.0 END FROM t", "= 1"),
+        Case("l_returnflag", "satisfies", "CAST(l_returnflag AS int) > 0", "SELECT NULL::double FROM t LIMIT 1", "= 1"),
+        _share("l_quantity", "satisfies", "l_linenumber = 3 OR 1 / (l_linenumber - 3) < 9",
+               "l_linenumber = 3 OR 1.0 / (l_linenumber - 3) < 9"),
+        _exact("Completeness", "l_quantity", "isComplete", "s", "= 1"),
+    ]),
+    "verify_has_sum_zero": ("customer", _THIRDS, [
+        Case("c_acctbal", "hasSum", "0", metric_sql("Sum", "c_acctbal"), "BETWEEN -1e-9 AND 1e-9", False),
+        Case("c_acctbal", "hasMean", "0", metric_sql("Mean", "c_acctbal"), "BETWEEN -1e-9 AND 1e-9", False),
+        Case("c_acctbal", "hasSum", "0.001", metric_sql("Sum", "c_acctbal"), "> 0.0009", False),
+    ]),
+    "verify_is_contained_in_decimal": ("lineitem", {"l_tax": "CAST(l_tax AS decimal(6,2))"}, [
+        _share("l_tax", "isContainedIn", "0, 0.01,0.02,0.03,0.04,0.05,0.060,0.07,0.08",
+               "l_tax IN (0, 0.01, 0.02, 0.03, 0.04, 0.05, 0.06, 0.07, 0.08)"),
+        _share("l_tax", "isContainedIn", "0.011,0.02", "l_tax = 0.02"),
+    ]),
+    "verify_histogram_value_decimal": ("lineitem", {"l_tax": "CAST(l_tax AS decimal(6,2))"}, [
+        _share("l_tax", "hasHistogramValues", "0.020=0.05", "l_tax = 0.02", ">= 0.05"),
+        _share("l_tax", "hasHistogramValues", "0.019=0.05", "l_tax = 0.019", ">= 0.05"),
+    ]),
     "verify_bad_rules": ("lineitem", {}, [
         Case("l_quantity", "hasMin", "abc", "SELECT NULL::double", "= 1"),
         Case("l_missing", "isComplete", "s", "SELECT NULL::double", "= 1"),
