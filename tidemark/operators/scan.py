@@ -53,7 +53,8 @@ class Scan:
         self._case = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
         self._kept: dict[tuple, tuple[str, str, str]] = {}
         self._value_types: dict[str, str] = {}
-        self._inputs: dict[str, str] = {}
+        self._inputs: tuple[dict[str, str], dict[str, str]] = ({}, {})
+        self._results: dict[str, str] = {}
 
     def column(self, column: str) -> tuple[str, T.DataType]:
         """A column as SQL, and its type."""
@@ -82,7 +83,7 @@ class Scan:
     def run(self) -> DataFrame:
         """One row with every merged aggregate."""
         rows = self.df
-        for level in (self._value_types, self._inputs):
+        for level in (self._value_types, *self._inputs):
             if level:
                 rows = rows.selectExpr("*", *[f"{sql} AS {alias}" for sql, alias in level.items()])
         partial = ", ".join(f"{partial} AS {alias}" for alias, partial, _ in self._kept.values())
@@ -94,7 +95,8 @@ class Scan:
             parts = parts.groupBy(F.expr(next_bucket("bucket")).alias("bucket")).agg(
                 F.expr(f"struct({', '.join(merged)})").alias("parts")
             )
-        return parts.selectExpr(*merged)
+        results = [f"{sql} AS {alias}" for sql, alias in self._results.items()]
+        return parts.selectExpr(*merged).selectExpr("*", *results)
 
     def passes(self, sql: str, check: Callable[[], object]) -> bool:
         """Whether a check of a rule's text raises nothing; each text is checked once."""
@@ -127,9 +129,16 @@ class Scan:
         sql = C.text_value_type(value)
         return self._value_types.setdefault(sql, f"__value_type{len(self._value_types)}")
 
-    def input(self, sql: str) -> str:
-        """A per-row input of sketches, which evaluate a plain column much faster."""
-        return self._inputs.setdefault(sql, f"__input{len(self._inputs)}")
+    def input(self, sql: str, level: int = 0) -> str:
+        """A per-row input of aggregates, which evaluate a plain column much faster.
+
+        One of level 1 may look at those of level 0.
+        """
+        return self._inputs[level].setdefault(sql, f"__input{level}_{len(self._inputs[level])}")
+
+    def result(self, sql: str) -> str:
+        """A value over merged aggregates that several metrics need."""
+        return self._results.setdefault(sql, f"__result{len(self._results)}")
 
     def type_count(self, column: str, value_type: str) -> str:
         """Non-null values of a type; Unknown counts the nulls."""
@@ -295,7 +304,7 @@ def _minimum(scan: Scan, column: str, params: str) -> Reported:
 # A double is cut into whole multiples of these powers of two, LIMB_BITS apart.  Sums of whole
 # numbers do not depend on their order; 2^(63 - LIMB_BITS) rows can be added by one task.
 LIMB_BITS = 32
-LIMBS = tuple(range(96, -129, -LIMB_BITS))
+LIMBS = tuple(range(64, -97, -LIMB_BITS))
 # What is larger is added as doubles; what is smaller than the last power is rounded, row by row.
 LARGEST = 2.0 ** (LIMBS[0] + LIMB_BITS - 1)
 # Half a unit in the last place of a double, relative to it.
@@ -328,7 +337,7 @@ def _sum_of(scan: Scan, column: str) -> str:
         parts = scan.keep(("exact sum", column), partial, merge)
         return f"(CAST({parts}.whole AS double) + CAST({parts}.part AS double))"
     x = scan.number(column)
-    common = f"if(abs({x}) < {LARGEST!r}d, {x}, if({x} IS NULL, NULL, 0.0d))"
+    common = scan.input(f"if(abs({x}) < {LARGEST!r}d, {x}, if({x} IS NULL, NULL, 0.0d))", 1)
     # How often each power goes into a value; less what the one before has taken.
     whole = [f"rint({common} * {2.0**-power!r}d)" for power in LIMBS]
     limbs = [whole[0], *[f"{b} - {a} * {2.0**LIMB_BITS!r}d" for a, b in zip(whole, whole[1:])]]
@@ -339,35 +348,29 @@ def _sum_of(scan: Scan, column: str) -> str:
     parts = scan.keep(
         ("exact sum", column), f"struct({partial}, {rest} AS rest)", f"struct({merge}, sum({{}}.rest) AS rest)"
     )
-    return f"({_from_limbs([f'{parts}.l{i}' for i in range(len(LIMBS))])} + coalesce({parts}.rest, 0.0d))"
+    exact = _from_limbs([f"{parts}.l{i}" for i in range(len(LIMBS))])
+    return scan.result(f"{exact} + coalesce({parts}.rest, 0.0d)")
 
 
 def _from_limbs(limbs: list[str]) -> str:
     """The double that limbs, the highest first, stand for.
 
-    What exceeds a limb is carried over from the lowest one on, of the amount: all digits are then
-    of one sign, so that none cancels another when they are added as doubles.
+    From the lowest limb on, what exceeds half a limb either way is carried over.  So when the
+    digits are added as doubles, from the highest one on, none cancels those before it.
     """
-    base = f"{2**LIMB_BITS}BD"
-    digit = f"pmod(a.carry + limb, {base})"
-    zero = "struct(0BD AS carry, CAST(array() AS array<double>) AS digits)".replace("0BD", "CAST(0 AS decimal(38,0))")
-
-    def digits(sign: str) -> str:
-        from_lowest = f"array({', '.join(sign + limb for limb in reversed(limbs))})"
-        return (
-            f"aggregate({from_lowest}, {zero}, (a, limb) -> struct("
-            f"CAST((a.carry + limb - {digit}) / {base} AS decimal(38,0)) AS carry,"
-            f" concat(a.digits, array(CAST({digit} AS double))) AS digits))"
-        )
-
-    def value(sign: str) -> str:
-        parts = digits(sign)
-        return (
-            f"aggregate(reverse({parts}.digits), CAST({parts}.carry AS double),"
-            f" (sum, digit) -> sum * {2.0**LIMB_BITS!r}d + digit) * {2.0**LIMBS[-1]!r}d"
-        )
-
-    return f"if({digits('')}.carry < 0, -({value('-')}), {value('')})"
+    base, half = f"{2**LIMB_BITS}BD", f"{2 ** (LIMB_BITS - 1)}BD"
+    digit = f"pmod(a.carry + limb + {half}, {base}) - {half}"
+    zero = "struct(CAST(0 AS decimal(38,0)) AS carry, CAST(array() AS array<double>) AS digits)"
+    digits = (
+        f"aggregate(array({', '.join(reversed(limbs))}), {zero}, (a, limb) -> struct("
+        f"CAST((a.carry + limb - ({digit})) / {base} AS decimal(38,0)) AS carry,"
+        f" concat(a.digits, array(CAST({digit} AS double))) AS digits),"
+        " a -> concat(a.digits, array(CAST(a.carry AS double))))"
+    )
+    return (
+        f"aggregate(reverse({digits}), 0.0d, (sum, digit) -> sum * {2.0**LIMB_BITS!r}d + digit)"
+        f" * {2.0**LIMBS[-1]!r}d"
+    )
 
 
 def _slack_of(scan: Scan, column: str) -> str:
