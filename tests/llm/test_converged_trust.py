@@ -45,5 +45,21 @@ def test_long_chain_and_links_without_scheme(spark):
     expected = converged([bad], [(b, a) for a, b in zip(chain, chain[1:] + [bad])])
     for host in chain:
         assert found[host].verdict == "block"
-        assert found[host].distrust / UNIT == pytest.approx(expected[host], abs=1e-5)
-    assert found[good].verdict == "allow" and found[good].trust == UNIT * (100 - DAMPING) // 100
+        assert found[host].distrust == pytest.approx(expected[host], abs=1e-5)
+    assert found[good].verdict == "allow" and found[good].trust == (100 - DAMPING) / 100
+
+
+def test_masses_beyond_long_do_not_wrap(spark):
+    rows = spark.range(1).selectExpr("20000000000000000000BD AS mass", "1L AS ways", "3L AS three")
+    found = rows.select(url_filters._share(rows.mass, rows.ways).alias("all"), url_filters._share(rows.mass, rows.three).alias("third")).first()
+    assert found.all == 2 * 10**19 * DAMPING // 100 and found.third == 2 * 10**19 * DAMPING // 300
+
+
+def test_odd_pages(spark):
+    rows = [(1, None, None), (2, "no host", "<a href='http://a.b/'>"), (3, "http:///x", None), (None, "http://A.org/fr/1", None), (4, "http://c.d", "")]
+    pages = spark.createDataFrame(rows + rows[-1:], "page_id long, url string, html string").selectExpr("*", "1 AS host", "2 AS mass", "3 AS rule")
+    found = sorted(((r.page_id or 0, r.host, r.path, r.rule, r.verdict) for r in url_filters.judge_urls(pages).collect()))
+    assert found == [
+        (0, "a.org", "/fr/1", "org/fr/", "allow"), (1, "", "", None, "allow"), (2, "", "", None, "allow"), (3, "", "/x", None, "allow"),
+        (4, "c.d", "", None, "allow"), (4, "c.d", "", None, "allow"),
+    ]

@@ -16,8 +16,10 @@ FIT_DOCUMENTS = 1_000
 ROUNDS = 2
 #: Weight, in pieces, that the distribution over all languages has in that of each.
 PRIOR = 200.0
-#: A longer run of letters is scored in parts of this many.
+#: Longer words are computed one by one, shorter ones together.
 LONGEST = 64
+#: Numbers of an array in which words are computed together: words times languages.
+AT_ONCE = 200_000
 #: Texts of one batch that a task works on.
 BATCH = 1_000
 UNDETERMINED = "und"
@@ -38,11 +40,11 @@ def vocabulary(model_file: str) -> dict[str, int]:
 
 def words_in(text: str) -> list[bytes]:
     """The lower-cased words, cut at white space and at ASCII signs and digits."""
-    words = text.lower().encode().translate(_TO_SPACE).split()
-    if max(map(len, words), default=0) <= LONGEST:
-        return words
-    whole = [w.decode() for w in words]
-    return [w[i : i + LONGEST].encode() for w in whole for i in range(0, len(w), LONGEST)]
+    return text.lower().encode().translate(_TO_SPACE).split()
+
+
+def is_long(word: bytes) -> bool:
+    return len(word) > LONGEST and len(word.decode()) > LONGEST
 
 
 class Lattice:
@@ -60,6 +62,7 @@ class Lattice:
     def __init__(self, pieces: dict[str, int]) -> None:
         self.unknown = max(pieces.values(), default=-1) + 1
         self.longest = max(map(len, pieces), default=1)
+        self.pieces = pieces
         self.lengths = np.ones(self.unknown + 1)
         keys = np.zeros(len(pieces), np.uint64)
         for k, (piece, number) in enumerate(pieces.items()):
@@ -139,6 +142,57 @@ class Lattice:
             after[i][rows] += after[j][rows] * weights[numbers]
         return after
 
+    def _ending(self, marked: str, j: int) -> Iterator[tuple[int, int]]:
+        """Where the pieces begin that end at place j, and their numbers."""
+        for i in range(max(0, j - self.longest), j):
+            number = self.pieces.get(marked[i:j])
+            if number is not None:
+                yield i, number
+            elif i == j - 1:
+                yield i, self.unknown
+
+    def score_long(self, word: bytes, weights: np.ndarray) -> np.ndarray:
+        """As `score` for one word of any length, of which only the last `longest` places are held.
+
+        Each language is divided by its greatest weight as it goes on, whose logarithm is added up.
+        """
+        marked = _START + word.decode()
+        held, logs = {0: np.ones(weights.shape[1])}, 0.0
+        for j in range(1, len(marked) + 1):
+            held[j] = sum(held[i] * weights[number] for i, number in self._ending(marked, j))
+            held.pop(j - self.longest, None)
+            if j % self.longest == 0:
+                greatest = np.max(list(held.values()), axis=0)
+                held = {i: values / greatest for i, values in held.items()}
+                logs += np.log(greatest)
+        return np.log(held[len(marked)]) + logs - self.STEP * len(marked)
+
+    def expected_long(self, word: bytes, weights: np.ndarray) -> np.ndarray:
+        """How often each piece is expected in one word of any length; weights of one language."""
+        marked, one = _START + word.decode(), weights[:, 0]
+        n = len(marked)
+        ending = [list(self._ending(marked, j)) for j in range(n + 1)]
+        # Both directions are kept in range by a factor of their own at each place.
+        upto, scale = np.zeros(n + 1), np.ones(n + 1)
+        upto[0] = 1
+        for j in range(1, n + 1):
+            # What earlier places have been divided by since.
+            since = 1.0
+            for i, number in reversed(ending[j]):
+                since = since if i == j - 1 else 1.0 / np.prod(scale[i + 1 : j])
+                upto[j] += upto[i] * one[number] * since
+            scale[j] = upto[j]
+            upto[j] = 1.0
+        after = np.zeros(n + 1)
+        after[n] = 1
+        total = np.zeros(self.unknown + 1)
+        for j in range(n, 0, -1):
+            for i, number in ending[j]:
+                share = one[number] / np.prod(scale[i + 1 : j + 1]) * after[j]
+                after[i] += share
+                total[number] += share
+        return total
+
     def score(self, words: list[bytes], weights: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language, summed over its segmentations."""
         out = np.empty((len(words), weights.shape[1]))
@@ -149,7 +203,9 @@ class Lattice:
     def expected(self, counts: Counter, weights: np.ndarray) -> np.ndarray:
         """How often each piece is expected in words that occur so often; weights of one language."""
         total = np.zeros(self.unknown + 1)
-        words = list(counts)
+        for word in filter(is_long, counts):
+            total += counts[word] * self.expected_long(word, weights)
+        words = [word for word in counts if not is_long(word)]
         often = np.array([counts[w] for w in words], float)
         for places, n, spans in self.edges(words):
             upto = self._forward(len(places), n, spans, weights)[..., 0]
@@ -240,18 +296,22 @@ def detect_languages(docs: DataFrame, model_file: str) -> DataFrame:
             for at in range(0, len(batch), BATCH):
                 part = batch.iloc[at : at + BATCH]
                 texts = [words_in(t) if langs and t else [] for t in part["text"]]
+                long = [[w for w in words if is_long(w)] for words in texts]
+                texts = [[w for w in words if not is_long(w)] if own else words for words, own in zip(texts, long)]
                 if len(index) > kept:
                     index, scores = {}, scores[:0]
                 new = list({w for words in texts for w in words}.difference(index))
                 index.update(zip(new, range(len(index), len(index) + len(new))))
                 scores = np.concatenate([scores, *_scored(lattice, new, weights)])
                 names, values = [], []
-                for text, words in zip(part["text"], texts):
-                    if not words or not any(map(str.isalpha, text)):
+                for text, words, own in zip(part["text"], texts, long):
+                    if not (words or own) or not any(map(str.isalpha, text)):
                         names.append(UNDETERMINED)
                         values.append(0.0)
                         continue
                     total = scores[np.fromiter(map(index.__getitem__, words), np.int64, len(words))].sum(0)
+                    for word in own:
+                        total += lattice.score_long(word, weights)
                     best = int(total.argmax())
                     names.append(langs[best])
                     values.append(float(1 / np.exp(total - total[best]).sum()))
@@ -265,6 +325,7 @@ def detect_languages(docs: DataFrame, model_file: str) -> DataFrame:
     ).mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def _scored(lattice: Lattice, words: list[bytes], weights: np.ndarray, at_once: int = 50_000) -> Iterable[np.ndarray]:
+def _scored(lattice: Lattice, words: list[bytes], weights: np.ndarray) -> Iterable[np.ndarray]:
+    at_once = max(1, AT_ONCE // max(1, weights.shape[1]))
     for i in range(0, len(words), at_once):
         yield lattice.score(words[i : i + at_once], weights)

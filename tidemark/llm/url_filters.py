@@ -52,6 +52,13 @@ def _target(link: Column) -> Column:
     return host_of(F.regexp_replace(link, "^//", "://"))
 
 
+def _share(mass: Column, ways: Column) -> Column:
+    """What a host hands on to each of its targets, in whole numbers; decimal all along."""
+    whole = "decimal(38,0)"
+    sent, parts = (mass.cast(whole) * DAMPING).cast(whole), (ways.cast("decimal(19,0)") * 100).cast("decimal(21,0)")
+    return ((sent - F.pmod(sent, parts)) / parts).cast(whole)
+
+
 def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """host and mass: personalised PageRank of the seeds over edges (source, target, ways).
 
@@ -68,7 +75,7 @@ def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
         for _ in range(ROUNDS):
             sent = edges.join(masses, edges["source"] == masses["host"]).select(
                 F.col("target").alias("host"),
-                F.expr(f"cast(mass * {DAMPING}BD div (100 * ways) AS {whole})").alias("mass"),
+                _share(F.col("mass"), F.col("ways")).alias("mass"),
                 none.alias("before"),
             )
             old = masses.select("host", none.alias("mass"), F.col("mass").alias("before"))
@@ -82,7 +89,7 @@ def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame) -> DataFrame:
-    """page_id, host, path, rule, verdict, trust and distrust of each row of pages.
+    """page_id, host, path, rule, verdict, trust and distrust (in seeds) of each row of pages.
 
     The longest rule that fits decides.  For the other pages their host does: it is blocked if
     more distrust than trust reaches it.  Trust starts from the hosts that have an allowed page
@@ -146,8 +153,7 @@ def judge_urls(pages: DataFrame) -> DataFrame:
                 F.col("found.verdict"),
                 F.when(F.coalesce("distrust", F.lit(0)) > F.coalesce("trust", F.lit(0)), "block").otherwise("allow"),
             ).alias("verdict"),
-            F.coalesce("trust", F.lit(0)).cast("long").alias("trust"),
-            F.coalesce("distrust", F.lit(0)).cast("long").alias("distrust"),
+            *[(F.coalesce(name, F.lit(0)).cast("double") / UNIT).alias(name) for name in ("trust", "distrust")],
         )
     )
 
@@ -188,11 +194,11 @@ def oracle_sql() -> str:
                 f" m.mass * {DAMPING} // (100 * w.ways) FROM {name}w w JOIN {name}{i} m ON w.source = m.host)"
                 " GROUP BY host)"
             )
-    value = lambda name: f"coalesce({name}{STEPS}.mass, 0)::BIGINT"
+    value = lambda name: f"coalesce({name}{STEPS}.mass, 0)"
     return (
         "WITH " + ", ".join(ctes) + " SELECT page_id, r.host AS host, path, rule, coalesce(given,"
         f" CASE WHEN {value('distrust')} > {value('trust')} THEN 'block' ELSE 'allow' END) AS verdict,"
-        f" {value('trust')} AS trust, {value('distrust')} AS distrust FROM r"
+        f" {value('trust')}::DOUBLE / {UNIT}::DOUBLE AS trust, {value('distrust')}::DOUBLE / {UNIT}::DOUBLE AS distrust FROM r"
         f" LEFT JOIN trust{STEPS} ON trust{STEPS}.host = r.host"
         f" LEFT JOIN distrust{STEPS} ON distrust{STEPS}.host = r.host"
     )
