@@ -10,16 +10,18 @@ from tidemark.llm.common import let, stage, words_of
 WINDOW = 8
 #: A text fails outright with fewer words, or more per cent of its words in repeated windows.
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-#: A language and source with fewer documents is judged by the sketch of its language.
-MIN_DOCUMENTS = 200
+#: Weight, in documents, that the limits of a language have in those of each of its sources.
+PRIOR = 200
 #: Distance of a fence from its quartile, in interquartile ranges.
 REACH = 3
-#: The statistics, as whole numbers, with the least interquartile range that is taken.
+#: The sketch names a value up to this part of it too low, so no range is taken for less.
+ERROR = 64
+#: The statistics, as whole numbers.
 STATISTICS = {
-    "word_length": ("1000 * word_chars div n_words", 300),
-    "symbols": ("10000 * n_symbols div word_chars", 100),
-    "dup_lines": ("1000 * n_dup_lines div n_lines", 150),
-    "repeats": ("1000 * n_repeat_words div n_words", 100),
+    "word_length": "1000 * word_chars div n_words",
+    "symbols": "10000 * n_symbols div word_chars",
+    "dup_lines": "1000 * n_dup_lines div n_lines",
+    "repeats": "1000 * n_repeat_words div n_words",
 }
 #: The statistics that may also be too low.
 TWO_SIDED = ("word_length",)
@@ -89,19 +91,20 @@ def statistics(docs: DataFrame) -> DataFrame:
 def sketches(stats: DataFrame) -> DataFrame:
     """lang, source, statistic, bucket, n: a quantile sketch of each statistic of a group.
 
-    A bucket holds the values with the same seven leading bits and is named by the least of
+    Zeros, which most documents have in most statistics and which always pass, are left out: the
+    quartiles are those of the documents that have some.  A bucket holds the values with the same seven leading bits and is named by the least of
     them, so a quantile is at most 1/64 too low.  Two sketches merge by adding up n, whatever
     the order, and give the same result in every run.
     """
     values = F.array(*[
         F.struct(F.lit(name).alias("statistic"), F.expr(value).alias("value"))
-        for name, (value, _) in STATISTICS.items()
+        for name, value in STATISTICS.items()
     ])
     shift = F.expr("int(greatest(0, length(bin(value)) - 7))")
     return (
         stats.where(~F.col("base_failed"))
         .select("lang", "source", F.explode(values).alias("v"))
-        .select("lang", "source", "v.*")
+        .select("lang", "source", "v.*").where("value > 0")
         .withColumn("bucket", F.call_function("shiftleft", F.call_function("shiftright", "value", shift), shift))
         .groupBy("lang", "source", "statistic", "bucket")
         .agg(F.count("*").alias("n"))
@@ -109,7 +112,7 @@ def sketches(stats: DataFrame) -> DataFrame:
 
 
 def fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """keys, documents and per statistic the lowest and highest value that passes."""
+    """keys and per statistic n (documents that have some of it), the lowest and highest value that passes."""
     group = Window.partitionBy(*keys, "statistic")
     ranked = sketch.select(
         *keys, "statistic", "bucket",
@@ -121,24 +124,27 @@ def fences(sketch: DataFrame, *keys: str) -> DataFrame:
         F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("bucket"))).alias("q1"),
         F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("bucket"))).alias("q3"),
     )
+    spread = REACH * F.greatest(F.col("q3") - F.col("q1"), F.expr(f"1 + q3 div {ERROR}"))
     columns = []
-    for name, (_, least) in STATISTICS.items():
+    for name in STATISTICS:
         of = F.col("statistic") == name
-        spread = REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+        columns.append(F.max(F.when(of, F.col("total"))).alias(f"{name}_n"))
         columns.append(F.max(F.when(of, F.col("q3") + spread)).alias(f"{name}_high"))
-        if name in TWO_SIDED:
-            columns.append(F.max(F.when(of, F.col("q1") - spread)).alias(f"{name}_low"))
-    return quartiles.groupBy(*keys).agg(F.max("total").alias("documents"), *columns)
+        columns.append(F.max(F.when(of, F.col("q1") - spread)).alias(f"{name}_low"))
+    return quartiles.groupBy(*keys).agg(*columns)
 
 
 def apply_quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept of each row of docs.
 
-    A document that does not fail outright is kept if every statistic lies within the fences,
-    q1 - 3 IQR and q3 + 3 IQR, of its language and source, or of its language if that source has
-    fewer than 200 such documents.  A null language or source is a group like any other.  A text
-    that is null, empty or only white space fails; repeated rows are judged each; an empty table
-    gives no rows.  Other columns of docs are left out.
+    A document that does not fail outright is kept if every statistic lies within the fences of
+    its language and source, q1 - 3 IQR (for the length of words only) and q3 + 3 IQR, with
+    quartiles of the documents that have some of it; the range is never taken for less than the
+    sketch can tell apart.  The limits of a source are a mean of its own, with its number of such
+    documents as their weight, and those of its language, with PRIOR: they move to its own as it
+    grows.  Without a document that has some of it, a statistic has no limit.  A null language
+    or source is a group like any other.  A text that is null, empty or only white space fails;
+    repeated rows are judged each; an empty table gives no rows.  Other columns of docs are left out.
 
     The counts are staged, so the texts are read once.  A hot source leaves every task as at
     most some hundred buckets, and Spark chooses the join with the fences by their actual size.
@@ -147,20 +153,19 @@ def apply_quality_rules(docs: DataFrame) -> DataFrame:
     by_source = sketches(stats)
     by_lang = by_source.groupBy("lang", "statistic", "bucket").agg(F.sum("n").alias("n"))
     own, wider = fences(by_source, "lang", "source"), fences(by_lang, "lang")
-    limits = [c for c in wider.columns if c not in ("lang", "documents")]
+    blended = [
+        F.expr(f"coalesce((o.{name}_n * o.{name}_{side} + {PRIOR} * w.{name}_{side}) div (o.{name}_n + {PRIOR}), w.{name}_{side})")
+        .alias(f"{name}_{side}")
+        for name in STATISTICS for side in ("low", "high")
+    ]
     thresholds = own.alias("o").join(wider.alias("w"), F.col("o.lang").eqNullSafe(F.col("w.lang"))).select(
-        F.col("o.lang").alias("lang"),
-        F.col("o.source").alias("source"),
-        *[
-            F.when(F.col("o.documents") >= MIN_DOCUMENTS, F.col(f"o.{c}")).otherwise(F.col(f"w.{c}")).alias(c)
-            for c in limits
-        ],
+        F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), *blended
     )
     passes = F.lit(True)
-    for name, (value, _) in STATISTICS.items():
-        passes &= F.expr(f"{value} <= {name}_high")
+    for name, value in STATISTICS.items():
+        passes &= F.expr(f"{value} = 0 OR coalesce({value} <= {name}_high, true)")
         if name in TWO_SIDED:
-            passes &= F.expr(f"{value} >= {name}_low")
+            passes &= F.expr(f"coalesce({value} >= {name}_low, true)")
     return (
         stats.alias("s")
         .join(
@@ -198,14 +203,14 @@ def oracle_sql() -> str:
         f"b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words"
         " AS base_failed FROM st)",
     ]
-    values = {name: value.replace(" div ", " // ") for name, (value, _) in STATISTICS.items()}
+    values = {name: value.replace(" div ", " // ") for name, value in STATISTICS.items()}
     ctes.append("v AS (" + " UNION ALL ".join(
         f"SELECT lang, source, '{name}' AS statistic, ({value})::BIGINT AS value FROM b WHERE NOT base_failed"
         for name, value in values.items()
     ) + ")")
     shift = "greatest(0, length(bin(value)) - 7)::INTEGER"
     ctes.append(f"sk AS (SELECT lang, source, statistic, ((value >> {shift}) << {shift}) AS bucket, count(*) AS n"
-                " FROM v GROUP BY ALL)")
+                " FROM v WHERE value > 0 GROUP BY ALL)")
     for name, keys in (("own", "lang, source"), ("wider", "lang")):
         ctes.append(
             f"{name}r AS (SELECT {keys}, statistic, bucket, sum(n) OVER (PARTITION BY {keys}, statistic ORDER BY bucket)"
@@ -217,15 +222,21 @@ def oracle_sql() -> str:
             " min(CASE WHEN 4 * upto >= total THEN bucket END) AS q1,"
             f" min(CASE WHEN 4 * upto >= 3 * total THEN bucket END) AS q3 FROM {name}r GROUP BY {keys}, statistic)"
         )
-        limits = []
-        for statistic, (_, least) in STATISTICS.items():
-            of, spread = f"CASE WHEN statistic = '{statistic}' THEN", f"{REACH} * greatest(q3 - q1, {least})"
+        limits, spread = [], f"{REACH} * greatest(q3 - q1, 1 + q3 // {ERROR})"
+        for statistic in STATISTICS:
+            of = f"CASE WHEN statistic = '{statistic}' THEN"
+            limits.append(f"max({of} total END) AS {statistic}_n")
             limits.append(f"max({of} q3 + {spread} END) AS {statistic}_high")
             limits.append(f"max({of} q1 - {spread} END) AS {statistic}_low")
-        ctes.append(f"{name} AS (SELECT {keys}, max(total) AS documents, {', '.join(limits)} FROM {name}q GROUP BY {keys})")
-    limit = lambda x: f"(CASE WHEN own.documents >= {MIN_DOCUMENTS} THEN own.{x} ELSE wider.{x} END)"
-    passes = [f"{value} <= {limit(f'{name}_high')}" for name, value in values.items()]
-    passes += [f"{values[name]} >= {limit(f'{name}_low')}" for name in TWO_SIDED]
+        ctes.append(f"{name} AS (SELECT {keys}, {', '.join(limits)} FROM {name}q GROUP BY {keys})")
+
+    def limit(name: str, side: str) -> str:
+        # As `div` does, towards zero.
+        blended = f"(own.{name}_n * own.{name}_{side} + {PRIOR} * wider.{name}_{side})::DOUBLE / (own.{name}_n + {PRIOR})"
+        return f"coalesce(trunc({blended}), wider.{name}_{side})"
+
+    passes = [f"({value} = 0 OR coalesce({value} <= {limit(name, 'high')}, true))" for name, value in values.items()]
+    passes += [f"coalesce({values[name]} >= {limit(name, 'low')}, true)" for name in TWO_SIDED]
     return (
         "WITH " + ", ".join(ctes) + " SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,"
         f" base_failed, CASE WHEN base_failed THEN false ELSE {' AND '.join(passes)} END AS kept FROM b"
