@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import small, stage
 
-#: Records from which the dictionary is made, the bytes that each gives at most, and its size.
-SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 1_000, 16_384, 112_640
+#: Records, about, from which the dictionary is made, the bytes that each gives at most, and its size.
+SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 1_000, 8_192, 112_640
 LEVEL = 3
 #: Payloads of fewer bytes are archived whole, however often they occur.
 LEAST_SHARED = 100
@@ -81,8 +81,8 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
 
     Each task writes one archive: the dictionary in a leading skippable frame, then one frame for
     each record, by Spark's text sink, which puts an empty skippable frame after each and commits
-    only what finished tasks have written.  The dictionary is made of SAMPLE records chosen by a
-    hash, up to SAMPLE_BYTES of each; it bears on the size of the archives only.  Payloads are
+    only what finished tasks have written.  The dictionary is made of about SAMPLE records chosen
+    by a hash, up to SAMPLE_BYTES of each; it bears on the size of the archives only.  Payloads are
     not shuffled as long as the repeated digests can be broadcast (see `small`).
     """
     payload = F.coalesce(pages["html"], F.lit("")).cast("binary")
@@ -99,9 +99,10 @@ def write_archives(pages: DataFrame, path: str, date: str = DATE) -> None:
         .agg(F.min(F.struct("page_id", "row", "url")).alias("head"), F.count("*").alias("n"))
         .where("n > 1").drop("n")
     )
-    sample = held.select(
+    # Of all rows as many as are wanted, wherever they are; no task hands on more than its share.
+    sample = held.where(F.pmod(F.xxhash64("row"), F.lit(max(1, held.count()))) < SAMPLE).select(
         "page_id", "row", "url", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), "size", "digest"
-    ).orderBy(F.xxhash64("row")).limit(SAMPLE).collect()
+    ).collect()
     made_of = dictionary([record(*r[:3], bytes(r.payload), *r[4:], None, date) for r in sample])
 
     def archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
