@@ -236,3 +236,11 @@ def test_value_metrics_take_one_scan_and_combine_before_the_shuffle(spark):
     assert plan.count("Exchange") == 2
     assert plan.count("partial_count(1)") == 1
     assert "Expand" in plan and "Window" not in plan and "Join" not in plan
+
+
+def test_a_histogram_counts_long_texts_by_digest(spark, tmp_path):
+    spark.range(1000).selectExpr("concat(repeat('x', 100), id % 7) AS s").write.parquet(str(tmp_path / "t"))
+    bins = tm.histogram(spark.read.parquet(str(tmp_path / "t")), "s", 3)
+    rows = bins.collect()
+    assert [r["n"] for r in rows] == [143, 143, 143] and [r["value"][-1] for r in rows] == ["0", "1", "2"]
+    assert "sha2" in bins._jdf.queryExecution().executedPlan().toString()

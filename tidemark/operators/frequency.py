@@ -98,14 +98,14 @@ def histogram(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """(value, n, ratio) of a column, nulls as a null value; the `top` most frequent if given.
 
     Values are counted by their frequency keys, so a long text is compared by its digest and
-    travels once for each task that has it.  The total is that of the counts: the table is read
-    once, and both share one shuffle.
+    travels once for each task that has it.  The total is a count of its own, which reads no
+    column of a columnar table.
     """
     value, dtype = Scan(df).column(column)
     key = value if C.is_nested(dtype) else C.frequency_key(value, dtype)[1]
     bins = df.groupBy(F.expr(key).alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.any_value(F.expr(value)).alias("value")
     ).select("value", "n")
-    total = bins.agg(F.sum("n").alias("total")).scalar()
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     bins = bins.withColumn("ratio", F.col("n") / total.cast("double"))
     return bins if top is None else bins.orderBy(F.desc("n"), F.asc("value")).limit(top)
