@@ -75,3 +75,24 @@ def test_schemas_and_odd_files(spark, tmp_path):
     profile = spark.read.option("header", True).csv(files.profile_path(out, "stock"))
     assert {r["instance"] for r in profile.collect()} == {"*", "k"}
     assert [files.format_of(f"x/orders{e}") for e in (".gz", ".csv.gz", "", ".json.zst", ".orc")] == ["csv", "csv", "parquet", "json", "orc"]
+
+
+def test_a_wide_csv_file_is_parsed_once(spark, tmp_path, monkeypatch):
+    folder, out = tmp_path / "landing", str(tmp_path / "out")
+    folder.mkdir()
+    names = [f"c{i}" for i in range(120)]
+    (folder / "wide.csv").write_text(",".join(names) + "\n" + "\n".join(",".join(str(i * j) for j in range(120)) for i in range(5)))
+    plans = []
+    compute = job.compute
+
+    def watched(df, requests):
+        table, problems = compute(df, requests)
+        plans.append(table._jdf.queryExecution().optimizedPlan().toString())
+        return table, problems
+
+    monkeypatch.setattr(job, "compute", watched)
+    outcome = tm.run(spark, str(folder), ["wide"], spark.createDataFrame([], RULES), out, schemas={"wide": ", ".join(f"{n} int" for n in names)})
+    assert outcome.first()["status"] == "Success", outcome.first()["message"]
+    assert len(plans) == 1 and "csv" not in plans[0].lower() and "parquet" in plans[0]
+    profile = spark.read.option("header", True).csv(files.profile_path(out, "wide"))
+    assert profile.where("name = 'Maximum' AND instance = 'c119'").first()["value"] == "476.0"

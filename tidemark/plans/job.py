@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -44,7 +45,9 @@ def run(
 
     `tables` names the catalog table an interface takes its schema from, `schemas` its schema where
     there is no such table; `read` replaces the reader altogether; `pattern` finds the interface
-    in the name of a landed file.  All files landed for an interface are one table.
+    in the name of a landed file.  All files landed for an interface are one table.  CSV and JSON
+    files are read once, into a columnar copy in the shared folder that is deleted afterwards;
+    however many columns there are, each further scan then reads its own ones only.
     """
     tables, schemas = tables or {}, schemas or {}
     read = read or (
@@ -62,8 +65,12 @@ def run(
         try:
             if interface not in landed:
                 raise FileNotFoundError(f"nothing landed for {interface}")
-            df = read(spark, interface, sorted(landed[interface]))
-            _process(df, read_rules_of(rules_for(rules, interface)), *targets)
+            paths = sorted(landed[interface])
+            df = read(spark, interface, paths)
+            # A file of rows is read whole by each scan: it is read once, into a columnar copy.
+            by_rows = any(files.format_of(path) in files.ROW_FORMATS for path in paths)
+            with kept(df) if by_rows else nullcontext(df) as table:
+                _process(table, read_rules_of(rules_for(rules, interface)), *targets)
         except Exception as error:  # one interface must not stop the others
             return interface, "Failure", _first_line(error), None, None
         return interface, "Success", "", *targets

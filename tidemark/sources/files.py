@@ -13,6 +13,8 @@ from tidemark.operators.rules import KEYS, RULES
 
 # File formats by the ending of a path; a landed file may also be a folder of part files.
 FORMATS = {"csv": "csv", "txt": "csv", "parquet": "parquet", "json": "json", "orc": "orc"}
+# Of these every scan reads and parses all columns.
+ROW_FORMATS = ("csv", "json")
 # What a compressed file without another ending holds: no Parquet file is compressed as a whole.
 COMPRESSED_FORMAT = "csv"
 # Endings of compressed files that Spark opens by themselves.
