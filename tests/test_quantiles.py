@@ -26,8 +26,8 @@ def furthest(values, found):
 
 
 def bound(partitions):
-    levels = 2 + scan.merge_levels(partitions)
-    return levels * 0.5 / scan.QUANTILE_POINTS + 1 / scan.QUANTILE_ACCURACY + 0.5 / scan.QUANTILE_POINTS
+    """Half a share for the partitions, for each level of merges but the last and for the answer."""
+    return (2 + scan.merge_levels(partitions)) * 0.5 / scan.QUANTILE_POINTS + 1 / scan.QUANTILE_ACCURACY
 
 
 @pytest.mark.parametrize("partitions", [1, 7, 200])
@@ -41,7 +41,8 @@ def test_ranks_within_the_bound(spark, partitions, shape):
     }[shape]()
     df = spark.createDataFrame([(v,) for v in values], "x double")
     df = df.repartitionByRange(partitions, "x") if shape == "sorted" else df.repartition(partitions)
-    assert furthest(values, quantiles(df)) <= bound(partitions)
+    # A value is one row of its own, which few rows cannot divide.
+    assert furthest(values, quantiles(df)) <= bound(partitions) + partitions / len(values)
 
 
 def test_two_runs_give_the_same_bits(spark, tmp_path):
