@@ -52,6 +52,9 @@ _NUMERIC_TEXT = {
     "o_orderpriority": "nullif(o_orderpriority, '5-LOW')",
 }
 
+# No value if there is a line of the first order, on which the predicate fails.
+_FAILS_ON_FIRST = "SELECT CASE WHEN count(*) FILTER (WHERE l_orderkey = 1) = 0 THEN 1.0 END FROM t"
+
 # query -> (table, replaced columns, cases)
 CASES: dict[str, tuple[str, dict[str, str], list[Case]]] = {
     "verify_is_complete": ("orders", _NULLED_PRIORITY, [
@@ -223,11 +226,10 @@ CASES: dict[str, tuple[str, dict[str, str], list[Case]]] = {
         _share("lang", "satisfies", "lang = 'en' AND n_chars > 0", "lang = 'en' AND n_chars > 0"),
     ]),
     "verify_predicate_fails_on_row": ("lineitem", {}, [
-        Case("l_quantity", "satisfies", "1 / (l_linenumber - 3) < 9",
-             "SELECT CASE WHEN count(*) FILTER (WHERE l_linenumber = 3) = 0 THEN 1.0 END FROM t", "= 1"),
-        Case("l_returnflag", "satisfies", "CAST(l_returnflag AS int) > 0", "SELECT NULL::double FROM t LIMIT 1", "= 1"),
-        _share("l_quantity", "satisfies", "l_linenumber = 3 OR 1 / (l_linenumber - 3) < 9",
-               "l_linenumber = 3 OR 1.0 / (l_linenumber - 3) < 9"),
+        Case("l_quantity", "satisfies", "1 / (l_orderkey - 1) < 9", _FAILS_ON_FIRST, "= 1"),
+        Case("l_returnflag", "satisfies", "CAST(if(l_orderkey = 1, l_returnflag, '1') AS int) > 0", _FAILS_ON_FIRST, "= 1"),
+        _share("l_quantity", "satisfies", "l_orderkey = 1 OR 1 / (l_orderkey - 1) < 9",
+               "l_orderkey = 1 OR 1.0 / (l_orderkey - 1) < 9"),
         _exact("Completeness", "l_quantity", "isComplete", "s", "= 1"),
     ]),
     "verify_has_sum_zero": ("customer", _THIRDS, [
